@@ -208,10 +208,10 @@ GROUP BY p.trade_date, p.window_start, p.close, p.pct_change""",
     "wash_pairs_exact": _round(WASH_COLS, WASH_R, _wash(1, True, 0.8)),
     "wash_pairs_exact_documented_unit": _round(WASH_COLS, WASH_R, _wash(1000, True, 0.8)),
     "wash_tiers": f"""
-SELECT trade_date, 1 AS time_unit_divisor, count(*) AS pairs, count_if(wash_score >= 0.95) AS high_confidence_pairs
+SELECT trade_date, 1 AS time_unit_divisor, count(*) AS pairs, CAST(count_if(wash_score >= 0.95) AS BIGINT) AS high_confidence_pairs
 FROM ({_wash(1, False, 0.8)}) a GROUP BY trade_date
 UNION ALL
-SELECT trade_date, 1000 AS time_unit_divisor, count(*) AS pairs, count_if(wash_score >= 0.95) AS high_confidence_pairs
+SELECT trade_date, 1000 AS time_unit_divisor, count(*) AS pairs, CAST(count_if(wash_score >= 0.95) AS BIGINT) AS high_confidence_pairs
 FROM ({_wash(1000, False, 0.8)}) b GROUP BY trade_date""",
     "dim_date": f"{DIM_SPAN} SELECT {DIM_COLS} FROM d",
     "dim_date_upsert": f"""
@@ -229,8 +229,8 @@ FROM s""",
     "fact_trades": FACT_TRADES,
     "fact_trades_contract": f"""
 SELECT processed_date, count(*) AS rows,
-       count_if(trade_id IS NULL OR date_id IS NULL OR price IS NULL OR qty IS NULL OR quote_qty IS NULL OR trade_time IS NULL
-                OR is_buyer_maker IS NULL OR is_sell IS NULL OR usd_value IS NULL OR trade_hour IS NULL OR processed_date IS NULL) AS null_violations,
+       CAST(count_if(trade_id IS NULL OR date_id IS NULL OR price IS NULL OR qty IS NULL OR quote_qty IS NULL OR trade_time IS NULL
+                OR is_buyer_maker IS NULL OR is_sell IS NULL OR usd_value IS NULL OR trade_hour IS NULL OR processed_date IS NULL) AS BIGINT) AS null_violations,
        {_count('count(*) - count(DISTINCT trade_id) - (CASE WHEN count_if(trade_id IS NULL) > 0 THEN 1 ELSE 0 END)')} AS duplicate_keys
 FROM ({FACT_TRADES}) f GROUP BY processed_date""",
     "fact_pump_dump": f"""
@@ -252,7 +252,7 @@ SELECT trade_date, buy_trade_id, sell_trade_id, time_diff_ms,
 FROM ({WASH_J1}) w""",
     "orphan_dates": f"""
 {DIM_SPAN}
-SELECT f.processed_date, count(*) AS fact_rows, count_if(d.full_date IS NULL) AS orphan_rows
+SELECT f.processed_date, count(*) AS fact_rows, CAST(count_if(d.full_date IS NULL) AS BIGINT) AS orphan_rows
 FROM ({FACT_TRADES}) f LEFT JOIN d ON f.date_id = CAST(year(d.full_date) * 10000 + month(d.full_date) * 100 + day(d.full_date) AS INTEGER)
 GROUP BY f.processed_date""",
     "dw_counts": f"""
