@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zipfile
 from collections.abc import Iterator
 from datetime import date
@@ -27,6 +28,19 @@ from pyspark.sql import functions as F
 
 from tradewatch.schemas import LANDING_COLUMNS
 
+def _ship_by_value() -> None:
+    """Send this module's task functions with the tasks, so executors need not
+    have the package installed (they only need pandas and pyarrow)."""
+    try:
+        from pyspark import cloudpickle
+
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # pragma: no cover - older cloudpickle
+        pass
+
+
+_ship_by_value()
+
 # Landing file name pattern ``<SYMBOL>-trades-<YYYY-MM-DD>.zip``.
 DEFAULT_SYMBOL = "PEPEUSDT"
 NAME_RE = r"([A-Z0-9]+)-trades-(\d{4}-\d{2}-\d{2})\.zip$"
