@@ -61,8 +61,10 @@ def valid_trades(typed: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFram
     return typed.where(price_ok & qty_ok & date_ok)
 
 
-def dedup_trades(df: DataFrame, key: str = "trade_id", day: str = "trade_date") -> DataFrame:
-    """One row per (day, key): the smallest row in column order.
+def dedup_trades(
+    df: DataFrame, key: str = "trade_id", day: str = "trade_date", first: tuple[str, ...] = ("time", "trade_time")
+) -> DataFrame:
+    """One row per (day, key): the earliest row, ties broken by the other columns in order.
 
     An aggregate, not a window: duplicates collapse map-side before the
     shuffle, so a key repeated on a third of the rows costs one row per task.
@@ -70,10 +72,11 @@ def dedup_trades(df: DataFrame, key: str = "trade_id", day: str = "trade_date")
     form one group, as ``dropDuplicates`` does.
     """
     rest = [c for c in df.columns if c not in (key, day)]
+    ordered = [c for c in first if c in rest] + [c for c in rest if c not in first]
     return (
         df.groupBy(day, key)
-        .agg(F.min(F.struct(*rest)).alias("_row"), F.count(F.lit(1)).alias("copies"))
-        .select(day, key, "_row.*", "copies")
+        .agg(F.min(F.struct(*ordered)).alias("_row"), F.count(F.lit(1)).alias("copies"))
+        .select(day, key, *[F.col(f"_row.{c}").alias(c) for c in rest], "copies")
     )
 
 

@@ -43,7 +43,7 @@ SILVER = f"""
 WITH b AS ({DIRTY}),
 f AS (SELECT * FROM b WHERE price > 0 AND qty > 0 AND CAST(trade_time AS DATE) = trade_date),
 d AS (SELECT *, row_number() OVER (PARTITION BY trade_date, trade_id
-                                   ORDER BY price NULLS FIRST, qty NULLS FIRST, trade_time NULLS FIRST, is_buyer_maker NULLS FIRST) AS rn
+                                   ORDER BY trade_time NULLS FIRST, price NULLS FIRST, qty NULLS FIRST, is_buyer_maker NULLS FIRST) AS rn
       FROM f)
 SELECT trade_id, price, qty, price * qty AS quote_qty, epoch_us(trade_time) AS time, is_buyer_maker,
        true AS is_best_match, trade_time, CAST(hour(trade_time) AS INTEGER) AS trade_hour,
@@ -154,7 +154,7 @@ FROM f GROUP BY trade_date""",
     "dedup_trades": f"""
 WITH b AS ({DIRTY}),
 d AS (SELECT *, row_number() OVER (PARTITION BY trade_date, trade_id
-                                   ORDER BY price NULLS FIRST, qty NULLS FIRST, trade_time NULLS FIRST, is_buyer_maker NULLS FIRST) AS rn,
+                                   ORDER BY trade_time NULLS FIRST, price NULLS FIRST, qty NULLS FIRST, is_buyer_maker NULLS FIRST) AS rn,
              count(*) OVER (PARTITION BY trade_date, trade_id) AS copies
       FROM b)
 SELECT trade_date, trade_id, price, qty, trade_time, is_buyer_maker, copies FROM d WHERE rn = 1""",
