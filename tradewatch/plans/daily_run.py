@@ -28,7 +28,9 @@ from tradewatch.operators import dq as DQ
 from tradewatch.operators import pump as P
 from tradewatch.operators import warehouse as WH
 from tradewatch.operators import wash as W
-from tradewatch.schemas import BRONZE, OHLCV, PUMP_DUMP, WASH_PAIRS
+from pyspark.sql.types import DateType, StructField, StructType
+
+from tradewatch.schemas import BRONZE, OHLCV, PUMP_DUMP, SILVER_STORED, WASH_PAIRS
 from tradewatch.sources import landing as LD
 from tradewatch.sources import layers as LY
 
@@ -106,10 +108,10 @@ def bronze_to_silver(spark: SparkSession, layout: Layout, days: list[date], cfg:
 
 def gold(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig) -> None:
     """Candles, then pump-and-dump on the written candles; wash pairs on silver."""
-    silver = LY.read_days(spark, layout.silver, "processed_date", days)
+    silver = LY.read_days(spark, layout.silver, "processed_date", days, schema=SILVER_STORED)
     candles = C.ohlcv(silver, cfg.candles)
     LY.replace_days(candles, layout.ohlcv, "trade_date", days, sort_within=["window_start"])
-    written = LY.read_days(spark, layout.ohlcv, "trade_date", days).select(*OHLCV.fieldNames())
+    written = LY.read_days(spark, layout.ohlcv, "trade_date", days, schema=OHLCV)
     LY.replace_days(P.pump_dump(written, cfg.pump), layout.pump, "trade_date", days)
     trades = silver.withColumnRenamed("processed_date", "trade_date")
     LY.replace_days(W.wash_pairs(trades, cfg.wash), layout.wash, "trade_date", days)
@@ -123,20 +125,23 @@ def load_warehouse(spark: SparkSession, layout: Layout, days: list[date]) -> Non
         new_dim = WH.dim_date_upsert(spark.read.parquet(dim_path), new_dim)
     new_dim.write.mode("append").parquet(dim_path)
 
-    silver = LY.read_days(spark, layout.silver, "processed_date", days)
+    silver = LY.read_days(spark, layout.silver, "processed_date", days, schema=SILVER_STORED)
     LY.replace_days(WH.fact_trades(silver), layout.dw("fact_trades"), "processed_date", days)
-    pumps = LY.read_days(spark, layout.pump, "trade_date", days).select(*PUMP_DUMP.fieldNames())
+    pumps = LY.read_days(spark, layout.pump, "trade_date", days, schema=PUMP_DUMP)
     LY.replace_days(WH.fact_pump_dump(pumps), layout.dw("fact_pump_dump_events"), "trade_date", days)
-    washes = LY.read_days(spark, layout.wash, "trade_date", days).select(*WASH_PAIRS.fieldNames())
+    washes = LY.read_days(spark, layout.wash, "trade_date", days, schema=WASH_PAIRS)
     LY.replace_days(WH.fact_wash_pairs(washes), layout.dw("fact_wash_trade_pairs"), "trade_date", days)
 
 
 def validate(spark: SparkSession, layout: Layout, days: list[date]) -> list[dict]:
     """Per-day fact counts; raises if a day has no fact_trades rows."""
+    def day_only(name: str) -> StructType:
+        return StructType([StructField(name, DateType(), True)])
+
     counts = WH.dw_counts(
-        LY.read_days(spark, layout.dw("fact_trades"), "processed_date", days),
-        LY.read_days(spark, layout.dw("fact_pump_dump_events"), "trade_date", days),
-        LY.read_days(spark, layout.dw("fact_wash_trade_pairs"), "trade_date", days),
+        LY.read_days(spark, layout.dw("fact_trades"), "processed_date", days, schema=day_only("processed_date")),
+        LY.read_days(spark, layout.dw("fact_pump_dump_events"), "trade_date", days, schema=day_only("trade_date")),
+        LY.read_days(spark, layout.dw("fact_wash_trade_pairs"), "trade_date", days, schema=day_only("trade_date")),
         _days_frame(spark, days),
     )
     return WH.validate_counts(counts)

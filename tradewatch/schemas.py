@@ -53,6 +53,12 @@ SILVER = StructType(
     ]
 )
 
+# Silver as stored: the typed columns plus the bronze lineage columns.
+SILVER_STORED = StructType(
+    SILVER.fields
+    + [StructField("_source_file", StringType(), True), StructField("_ingested_at", TimestampNTZType(), True)]
+)
+
 OHLCV = StructType(
     [
         StructField("trade_date", DateType(), True),

@@ -6,8 +6,9 @@ pushes the remaining predicates into the Parquet scan.
 
 Re-running a day must replace that day, also when the re-run finds nothing
 (T9). Dynamic partition overwrite replaces exactly the days present in the
-new rows; the days asked for but absent from them are cleared explicitly, so
-a re-run that finds no event for a day leaves that day empty.
+new rows; the folders of days asked for but absent from them are deleted
+through the Hadoop file system (a metadata operation, no Spark job), so a
+re-run that finds no event for a day leaves that day empty.
 """
 
 from __future__ import annotations
@@ -41,8 +42,10 @@ def replace_days(df: DataFrame, root: str, day_col: str, days: list[date], sort_
     """
     spark = df.sparkSession
     out = df.where(F.col(day_col).isin(list(days))) if days else df
-    # Write each day's rows together: one shuffle by day, files sorted for scans.
-    out = out.repartition(day_col)
+    # Cluster rows by day for few files per day, but let AQE split a day that
+    # is much larger than the others (REBALANCE) and merge small ones: a hot
+    # day never lands in a single task. Files are sorted for later scans.
+    out = out.hint("rebalance", day_col)
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
     # The days actually written, gathered during the write itself (no second pass).
@@ -57,8 +60,14 @@ def replace_days(df: DataFrame, root: str, day_col: str, days: list[date], sort_
     if not days:
         return
     present = set(seen.get.get("days") or [])
-    schema = StructType([f for f in df.schema.fields if f.name != day_col])
-    empty = spark.createDataFrame([], schema)
     for d in days:
         if str(d) not in present:
-            empty.write.mode("overwrite").parquet(f"{root}/{day_col}={d}")
+            delete_path(spark, f"{root}/{day_col}={d}")
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` on whatever file system it lives on."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p) and fs.delete(p, True))
