@@ -71,3 +71,14 @@ def test_replace_days_clears_days_without_rows(spark, tmpdir_run):
     LY.replace_days(spark.createDataFrame([(5, date(2026, 4, 20))], "x long, trade_date date"), root, "trade_date", [date(2026, 4, 20)])
     assert spark.read.parquet(root).count() == 2
     assert LY.read_days(spark, root, "trade_date", [D2]).count() == 1
+
+
+def test_extracted_csv_reader(spark, tmpdir_run):
+    d = os.path.join(tmpdir_run, "csv")
+    os.makedirs(d)
+    with open(os.path.join(d, "PEPEUSDT-trades-2026-04-13.csv"), "w") as f:
+        f.write("1,0.5,10,5,1776038400000000,True,True,extra\n2,0.6,10,6,1776038400000001,False\n")
+    rows = LD.read_landing_csv(spark, d).orderBy("trade_id").collect()
+    assert [r.trade_id for r in rows] == ["1", "2"]
+    assert rows[0].is_best_match == "True" and rows[1].is_best_match is None
+    assert rows[0].trade_date == D1 and rows[0]._source_file == "PEPEUSDT-trades-2026-04-13.csv"

@@ -59,3 +59,12 @@ def test_validate_counts(spark):
     with pytest.raises(ValueError, match="2026-01-02"):
         WH.validate_counts(counts)
     assert WH.validate_counts(WH.dw_counts(trades, empty, empty, days.where("trade_date = '2026-01-01'")))[0]["fact_trades"] == 1
+
+
+def test_seed_end_bound_and_second_rounding(spark):
+    assert WH.dim_date(spark, date(2029, 12, 1), 400).count() == 31
+    from tradewatch.functions import round_to_second
+
+    df = spark.createDataFrame([(datetime(2026, 1, 1, 23, 59, 59, 600000),), (datetime(2026, 1, 1, 1, 0, 0, 400000),)], "t timestamp_ntz")
+    got = [r.r for r in df.select(round_to_second("t").alias("r")).collect()]
+    assert got == [datetime(2026, 1, 2, 0, 0, 0), datetime(2026, 1, 1, 1, 0, 0)]

@@ -6,6 +6,7 @@ from tradewatch.functions.exprs import (
     epoch_us_to_ts,
     floor_div,
     pct_change,
+    round_to_second,
     severity,
     to_epoch_us,
 )
@@ -16,6 +17,7 @@ __all__ = [
     "epoch_us_to_ts",
     "floor_div",
     "pct_change",
+    "round_to_second",
     "severity",
     "to_epoch_us",
 ]

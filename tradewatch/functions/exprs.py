@@ -55,3 +55,10 @@ def date_id(day: Column | str) -> Column:
 def day_of_week(day: Column | str) -> Column:
     """0 = Monday .. 6 = Sunday."""
     return F.weekday(_c(day)).cast("int")
+
+
+def round_to_second(col: Column | str) -> Column:
+    """TIMESTAMP_NTZ rounded half-up to whole seconds, as a DATETIME column
+    without fraction stores it (T16): 23:59:59.6 becomes the next day's 00:00:00."""
+    us = to_epoch_us(col)
+    return epoch_us_to_ts(floor_div(us + 500_000, 1_000_000) * 1_000_000)

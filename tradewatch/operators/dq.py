@@ -100,11 +100,17 @@ def expected_days(report: DataFrame, days: list[date] | None) -> DataFrame:
 
 
 def dq_report(
-    typed: DataFrame, days: list[date] | None = None, cfg: CleanConfig = CleanConfig(), dq: DQConfig = DQConfig()
+    typed: DataFrame,
+    days: list[date] | None = None,
+    cfg: CleanConfig = CleanConfig(),
+    dq: DQConfig = DQConfig(),
+    with_steps: bool = False,
 ) -> DataFrame:
-    """Q1-Q6 per day, before any filtering, with the pass/fail of each gate."""
+    """Q1-Q6 per day, before any filtering, with the pass/fail of each gate;
+    ``with_steps`` adds the cleaning step counts of the same aggregate."""
     rep = expected_days(audit(typed, cfg, dq), days)
-    return _with_gates(rep, dq).select(*DQ_COLUMNS)
+    cols = DQ_COLUMNS + ([c for c in STEP_COLUMNS if c not in DQ_COLUMNS] if with_steps else [])
+    return _with_gates(rep, dq).select(*cols)
 
 
 def step_counts(typed: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:

@@ -27,6 +27,7 @@ from tradewatch.schemas import (
 # 2026-01-01 .. 2027-02-04).
 SEED_START = date(2026, 1, 1)
 SEED_DAYS = 400
+SEED_END = date(2029, 12, 31)
 
 
 def _dim_rows(days: DataFrame, col: str = "full_date") -> DataFrame:
@@ -43,9 +44,13 @@ def _dim_rows(days: DataFrame, col: str = "full_date") -> DataFrame:
     return project_to(out, DIM_DATE)
 
 
-def dim_date(spark: SparkSession, start: date = SEED_START, n_days: int = SEED_DAYS) -> DataFrame:
-    """``n_days`` consecutive days from ``start``."""
+def dim_date(
+    spark: SparkSession, start: date = SEED_START, n_days: int = SEED_DAYS, end: date | None = SEED_END
+) -> DataFrame:
+    """``n_days`` consecutive days from ``start``, none after ``end``."""
     days = spark.range(0, n_days).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("full_date"))
+    if end is not None:
+        days = days.where(F.col("full_date") <= F.lit(end))
     return _dim_rows(days)
 
 

@@ -99,7 +99,8 @@ def ingest(spark: SparkSession, layout: Layout, days: list[date]) -> None:
 def bronze_to_silver(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig) -> list[dict]:
     """DQ gate on the raw rows (raises), then clean and write silver; returns the DQ report rows."""
     bronze = LY.read_days(spark, layout.bronze, "trade_date", days, schema=BRONZE)
-    report = DQ.dq_report(CL.typed_trades(bronze, cfg.clean), days, cfg.clean, cfg.dq)
+    # One aggregate gives the DQ measures and the cleaning step counts.
+    report = DQ.dq_report(CL.typed_trades(bronze, cfg.clean), days, cfg.clean, cfg.dq, with_steps=True)
     rows = DQ.enforce(report, cfg.dq)
     silver = CL.clean_trades(bronze, cfg.clean)
     LY.replace_days(silver, layout.silver, "processed_date", days, sort_within=["trade_time"])

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch.schemas import LANDING_COLUMNS
+from tradewatch.schemas import LANDING, LANDING_COLUMNS
 
 def _ship_by_value() -> None:
     """Send this module's task functions with the tasks, so executors need not
@@ -134,6 +134,29 @@ def _unzip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         yield chunk
 
 
+def read_landing_csv(spark: SparkSession, path: str) -> DataFrame:
+    """S3 for already-extracted files: header-less CSV, the 7 landing columns as text.
+
+    PERMISSIVE mode drops surplus trailing fields and fills missing ones with
+    NULL, like the surveyed reader; ``_source_file`` comes from the file name
+    and ``trade_date`` from the name's date when it follows the landing pattern.
+    """
+    csv = (
+        spark.read.schema(LANDING)
+        .option("header", False)
+        .option("mode", "PERMISSIVE")
+        .csv(path)
+    )
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"([^/]+)$", 1)
+    day = F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})", 1)
+    return csv.select(
+        *LANDING_COLUMNS,
+        name.alias("_source_file"),
+        F.localtimestamp().alias("_ingested_at"),
+        F.when(day != "", F.to_date(day)).alias("trade_date"),
+    )
+
+
 def read_landing(spark: SparkSession, landing_dir: str, days: list[date] | None = None) -> DataFrame:
     """Bronze rows (all text) of the archives, with lineage columns.
 

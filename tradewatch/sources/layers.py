@@ -71,3 +71,13 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(p) and fs.delete(p, True))
+
+
+def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], batch_size: int = 5000) -> None:
+    """S9 towards a relational warehouse: append in batches of ``batch_size`` rows.
+
+    Spark's JDBC writer has no predicate delete, so clearing the run's days
+    before the append has to happen in the database; the partitioned Parquet
+    tables of :func:`replace_days` are the default, re-runnable target.
+    """
+    df.write.option("batchsize", batch_size).jdbc(url, table, mode="append", properties=properties)
