@@ -24,6 +24,26 @@ SQL_DEFAULTS = {
 }
 
 
+# Starting points for a large cluster (hundreds of executors, tens of TB per run).
+# AQE coalesces the initial shuffle partitions down to the advisory size, so the
+# initial number can be generous; skewed join partitions above the threshold
+# are split. Scans read 256 MB splits.
+CLUSTER_SQL_DEFAULTS = {
+    **SQL_DEFAULTS,
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "8000",
+}
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set runtime SQL options on an existing session (e.g. ``CLUSTER_SQL_DEFAULTS``)."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tradewatch") -> SparkSession:
     builder = (
         SparkSession.builder.master(master)

@@ -51,17 +51,22 @@ def landing_name(day: date | str, symbol: str = DEFAULT_SYMBOL) -> str:
     return f"{symbol}-trades-{day}.zip"
 
 
-def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def _open(path: str):
-    """Open a file on any Hadoop-style URI through pyarrow's file systems."""
+def _fs(path: str):
+    """(pyarrow file system, path inside it) for a local path or any supported URI."""
     from pyarrow import fs
 
+    if path.startswith("file:"):
+        path = path[len("file:"):]
+        while path.startswith("//"):
+            path = path[1:]
     if "://" not in path:
-        return open(_local(path), "rb")
-    filesystem, inner = fs.FileSystem.from_uri(path)
+        return fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(path)
+
+
+def _open(path: str):
+    """Open a file for random access (zip reading) on any supported file system."""
+    filesystem, inner = _fs(path)
     return filesystem.open_input_file(inner)
 
 
@@ -179,16 +184,22 @@ def read_landing(spark: SparkSession, landing_dir: str, days: list[date] | None
 
 
 def _zip_day(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from pyarrow import fs as pafs
+
     for batch in batches:
         for src, dst, member in zip(batch["src"], batch["dst"], batch["member"]):
-            src_dir = _local(src)
-            parts = sorted(p for p in os.listdir(src_dir) if p.startswith("part-"))
-            os.makedirs(os.path.dirname(_local(dst)), exist_ok=True)
+            src_fs, src_dir = _fs(src)
+            dst_fs, dst_path = _fs(dst)
+            parts = sorted(
+                i.path for i in src_fs.get_file_info(pafs.FileSelector(src_dir)) if os.path.basename(i.path).startswith("part-")
+            )
+            dst_fs.create_dir(os.path.dirname(dst_path), recursive=True)
             size = 0
-            with zipfile.ZipFile(_local(dst), "w", compression=zipfile.ZIP_DEFLATED) as zf:
+            # Re-running the task rewrites the archive from scratch: safe to retry.
+            with dst_fs.open_output_stream(dst_path) as raw, zipfile.ZipFile(raw, "w", compression=zipfile.ZIP_DEFLATED) as zf:
                 with zf.open(member, "w", force_zip64=True) as out:
                     for p in parts:
-                        with open(os.path.join(src_dir, p), "rb") as f:
+                        with src_fs.open_input_stream(p) as f:
                             while chunk := f.read(1 << 20):
                                 out.write(chunk)
                                 size += len(chunk)
@@ -199,7 +210,7 @@ def write_landing(trades: DataFrame, landing_dir: str, staging_dir: str, symbol:
     """Write one zip per day from typed trades (``trade_date`` + the 7 landing columns).
 
     Returns one row per archive written (path and CSV bytes); runs eagerly.
-    Works on file systems mounted on every executor (the shared checkpoint
+    Paths may be local or any URI pyarrow can open (the shared checkpoint
     folder of a cluster, or local disk in tests).
     """
     text = trades.select(*[F.col(c).cast("string").alias(c) for c in LANDING_COLUMNS], F.col("trade_date").cast("string").alias("trade_date"))
