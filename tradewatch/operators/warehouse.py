@@ -136,9 +136,10 @@ def contract_violations(fact: DataFrame, day_col: str, key: str | None = None) -
 def orphan_dates(fact: DataFrame, dim: DataFrame, day_col: str = "processed_date") -> DataFrame:
     """Per day, fact rows and those whose date_id has no dim_date row.
 
-    dim_date holds one row per calendar day (a few thousand rows for a
-    decade), so it is broadcast: its size is bounded by the calendar, not by
-    the data.
+    Only the distinct ``date_id`` values of ``dim`` are broadcast: YYYYMMDD
+    integers, one per calendar day, so fewer than 3.7 million values even for
+    years 1-9999 (a few thousand for a decade). The bound comes from the
+    calendar, not from the data, while the fact side is never shuffled.
     """
     ids = F.broadcast(dim.select("date_id").distinct().withColumn("_in_dim", F.lit(True)))
     joined = fact.join(ids, "date_id", "left")
