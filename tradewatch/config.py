@@ -73,6 +73,11 @@ class WashConfig:
     exact: bool = False
     # Second-bucket width of the same-bucket join, in raw time units (µs).
     bucket_width: int = 1_000_000
+    # Width of the time cells in raw units; any width of at least twice the
+    # time band is exact. ``None``: twice the band, but no less than
+    # ``min_time_cell`` so sparse seconds do not split into one-row cells.
+    time_cell: int | None = None
+    min_time_cell: int = 10_000
     # Value dimensions also cut into band cells: "auto" adds ``qty`` whenever
     # the time band alone does not narrow the bucket (documented unit).
     value_bands: tuple[str, ...] | str = "auto"
