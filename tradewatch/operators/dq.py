@@ -33,6 +33,14 @@ def _per_key(typed: DataFrame, cfg: CleanConfig) -> DataFrame:
         F.count_if(price_ok & ~qty_ok).alias("n_rm_qty"),
         F.count_if(price_ok & qty_ok & ~date_ok).alias("n_rm_date"),
         F.count_if(price_ok & qty_ok & date_ok).alias("n_kept"),
+        F.count_if(price_ok & qty_ok & date_ok & _nonfinite()).alias("n_nonfinite"),
+    )
+
+
+def _nonfinite():
+    inf = float("inf")
+    return F.coalesce(
+        F.isnan("price") | F.isnan("qty") | (F.abs("price") == inf) | (F.abs("qty") == inf), F.lit(False)
     )
 
 
@@ -49,6 +57,8 @@ def audit(typed: DataFrame, cfg: CleanConfig = CleanConfig(), dq: DQConfig = DQC
         F.sum("n_rm_date").alias("removed_date"),
         (F.sum("n_kept") - F.count_if(F.col("n_kept") > 0)).alias("removed_duplicates"),
         F.count_if(F.col("n_kept") > 0).alias("rows_out"),
+        # Kept rows with a NaN or infinite price or quantity (drives WashConfig.values_finite).
+        F.sum("n_nonfinite").alias("nonfinite_kept"),
     )
     return per_day
 
@@ -86,6 +96,7 @@ DQ_COLUMNS = [
 ]
 
 STEP_COLUMNS = ["trade_date", "total_rows", "removed_price", "removed_qty", "removed_date", "removed_duplicates", "rows_out"]
+RUN_COLUMNS = STEP_COLUMNS + ["nonfinite_kept"]
 
 
 def expected_days(report: DataFrame, days: list[date] | None) -> DataFrame:
@@ -109,7 +120,7 @@ def dq_report(
     """Q1-Q6 per day, before any filtering, with the pass/fail of each gate;
     ``with_steps`` adds the cleaning step counts of the same aggregate."""
     rep = expected_days(audit(typed, cfg, dq), days)
-    cols = DQ_COLUMNS + ([c for c in STEP_COLUMNS if c not in DQ_COLUMNS] if with_steps else [])
+    cols = DQ_COLUMNS + ([c for c in RUN_COLUMNS if c not in DQ_COLUMNS] if with_steps else [])
     return _with_gates(rep, dq).select(*cols)
 
 

@@ -15,7 +15,7 @@ surveyed schedule ran them in parallel and raced, T5).
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -107,15 +107,20 @@ def bronze_to_silver(spark: SparkSession, layout: Layout, days: list[date], cfg:
     return rows
 
 
-def gold(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig) -> None:
-    """Candles, then pump-and-dump on the written candles; wash pairs on silver."""
+def gold(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig, finite: bool = False) -> None:
+    """Candles, then pump-and-dump on the written candles; wash pairs on silver.
+
+    ``finite``: the DQ aggregate found no NaN or infinite price / quantity in
+    the kept rows, so the wash join may skip its sentinel copies.
+    """
     silver = LY.read_days(spark, layout.silver, "processed_date", days, schema=SILVER_STORED)
     candles = C.ohlcv(silver, cfg.candles)
     LY.replace_days(candles, layout.ohlcv, "trade_date", days, sort_within=["window_start"])
     written = LY.read_days(spark, layout.ohlcv, "trade_date", days, schema=OHLCV)
     LY.replace_days(P.pump_dump(written, cfg.pump), layout.pump, "trade_date", days)
     trades = silver.withColumnRenamed("processed_date", "trade_date")
-    LY.replace_days(W.wash_pairs(trades, cfg.wash), layout.wash, "trade_date", days)
+    wash_cfg = replace(cfg.wash, values_finite=True) if finite else cfg.wash
+    LY.replace_days(W.wash_pairs(trades, wash_cfg), layout.wash, "trade_date", days)
 
 
 def load_warehouse(spark: SparkSession, layout: Layout, days: list[date]) -> None:
@@ -154,7 +159,8 @@ def run_days(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConf
     if from_landing:
         ingest(spark, layout, days)
     dq_rows = bronze_to_silver(spark, layout, days, cfg)
-    gold(spark, layout, days, cfg)
+    finite = all(not r.get("nonfinite_kept") for r in dq_rows)
+    gold(spark, layout, days, cfg, finite=finite)
     load_warehouse(spark, layout, days)
     return {"dq": dq_rows, "counts": validate(spark, layout, days)}
 
