@@ -24,7 +24,7 @@ from tradewatch.operators import wash as W
 from tradewatch.sources import fixtures as FX
 from tradewatch.sources import landing as LD
 from tradewatch.sources import layers as LY
-from tradewatch.functions import to_epoch_us
+from tradewatch.functions import epoch_us_to_ts, to_epoch_us
 from tradewatch.session import scratch_path
 
 R = 6
@@ -69,7 +69,7 @@ def q_dedup_trades(spark, sf_dir):
 
 def q_time_enrichment(spark, sf_dir):
     t = FX.trades_sparse(_events(spark, sf_dir)).withColumn("time", to_epoch_us("trade_time"))
-    t = CL.enrich(t.withColumn("trade_time", F.col("trade_time")))
+    t = CL.enrich(t.withColumn("trade_time", epoch_us_to_ts("time")))
     return t.select("trade_id", "time", "trade_time", "trade_hour", "trade_minute", "is_sell", "usd_value")
 
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+import uuid
 import zipfile
 from collections.abc import Iterator
 from datetime import date
@@ -195,14 +196,17 @@ def _zip_day(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
             dst_fs.create_dir(os.path.dirname(dst_path), recursive=True)
             size = 0
-            # Re-running the task rewrites the archive from scratch: safe to retry.
-            with dst_fs.open_output_stream(dst_path) as raw, zipfile.ZipFile(raw, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+            # Written under a private name, then renamed: a retried or speculative
+            # attempt never exposes a half-written archive.
+            tmp = f"{dst_path}.inprogress-{uuid.uuid4().hex}"
+            with dst_fs.open_output_stream(tmp) as raw, zipfile.ZipFile(raw, "w", compression=zipfile.ZIP_DEFLATED) as zf:
                 with zf.open(member, "w", force_zip64=True) as out:
                     for p in parts:
                         with src_fs.open_input_stream(p) as f:
                             while chunk := f.read(1 << 20):
                                 out.write(chunk)
                                 size += len(chunk)
+            dst_fs.move(tmp, dst_path)
             yield pd.DataFrame({"dst": [dst], "csv_bytes": [size]})
 
 
