@@ -14,7 +14,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -29,7 +28,7 @@ from tradewatch.operators import dq as DQ  # noqa: E402
 from tradewatch.operators import pump as P  # noqa: E402
 from tradewatch.operators import wash as W  # noqa: E402
 from tradewatch.plans.daily_run import Layout, run_days  # noqa: E402
-from tradewatch.session import build_session  # noqa: E402
+from tradewatch.session import build_session, scratch_path  # noqa: E402
 from tradewatch.sources import fixtures as FX  # noqa: E402
 from tradewatch.sources import landing as LD  # noqa: E402
 
@@ -73,7 +72,7 @@ def main() -> None:
         "trade_id", "price", "qty", (F.col("price") * F.col("qty")).alias("quote_qty"),
         to_epoch_us("trade_time").alias("time"), "is_buyer_maker", F.lit(True).alias("is_best_match"), "trade_date",
     )
-    base = tempfile.mkdtemp(prefix="/tmp/run-bench-")
+    base = scratch_path(spark, "bench-run")
     lay = Layout(base)
     LD.write_landing(rows, lay.landing, base + "/staging")
     days = sorted(r.trade_date for r in rows.select("trade_date").distinct().collect())
