@@ -1,3 +1,4 @@
+import os
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -43,3 +44,25 @@ def test_stream_processes_each_archive_once(spark, tmpdir_run):
     q2 = landing_trigger.start(spark, lay, tmpdir_run + "/ckpt")
     q2.awaitTermination()
     assert not q2.recentProgress or all(p["numInputRows"] == 0 for p in q2.recentProgress)
+
+
+def test_day_without_pumps(spark, tmpdir_run):
+    lay = Layout(tmpdir_run)
+    day1 = _landing_rows(spark).where(F.col("trade_date") == date(2024, 1, 1))
+    # the same trades one day later at a flat price: no pump can occur
+    day2 = day1.select(
+        (F.col("trade_id") + 10_000_000).alias("trade_id"), F.lit(1.0).alias("price"), "qty",
+        F.col("qty").alias("quote_qty"), (F.col("time") + 86_400_000_000).alias("time"),
+        "is_buyer_maker", "is_best_match", F.lit(date(2024, 1, 2)).alias("trade_date"))
+    rows = day1.unionByName(day2)
+    LD.write_landing(rows, lay.landing, tmpdir_run + "/staging")
+    out = run_days(spark, lay, [date(2024, 1, 1), date(2024, 1, 2)])
+    c = {r["trade_date"]: r for r in out["counts"]}
+    assert c[date(2024, 1, 1)]["fact_pump_dump_events"] > 0
+    assert c[date(2024, 1, 2)]["fact_pump_dump_events"] == 0
+    assert c[date(2024, 1, 2)]["fact_trades"] == day2.count()
+    assert all(r["nonfinite_kept"] == 0 for r in out["dq"])
+    # candles exist for both days; the pump table has no folder for day 2
+    assert {r.trade_date for r in spark.read.parquet(lay.ohlcv).select("trade_date").distinct().collect()} == {
+        date(2024, 1, 1), date(2024, 1, 2)}
+    assert not os.path.exists(f"{lay.pump}/trade_date=2024-01-02")
