@@ -19,12 +19,13 @@ def ohlcv(trades: DataFrame, cfg: CandleConfig = CandleConfig()) -> DataFrame:
     """Candles of ``cfg.width`` from silver trades.
 
     Needs ``trade_id, price, qty, usd_value, trade_time, is_sell``. Open and close
-    are the prices of the first and last trade by ``(trade_time, trade_id)``,
-    so the result does not depend on file or shuffle order (T3). Windows are
+    are the prices of the first and last trade by ``(trade_time, trade_id)``
+    (NULL ids first; price breaks remaining ties), so the result does not
+    depend on file or shuffle order (T3). Windows are
     epoch-aligned and ``[start, end)``; a window never spans two days, so the
     day of a candle is the day of its start.
     """
-    order = F.struct("trade_time", "trade_id")
+    order = F.struct("trade_time", "trade_id", "price")
     is_sell = F.col("is_sell")
     tid = F.col("trade_id")
     agg = trades.groupBy(F.window("trade_time", cfg.width).alias("w")).agg(

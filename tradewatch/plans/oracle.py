@@ -55,8 +55,8 @@ CANDLES = f"""
 WITH t AS ({SPARSE}),
 w AS (SELECT *, make_timestamp((epoch_us(trade_time) // 300000000) * 300000000) AS window_start FROM t)
 SELECT CAST(window_start AS DATE) AS trade_date, window_start, window_start + INTERVAL 5 MINUTE AS window_end,
-       first(price ORDER BY trade_time, trade_id) AS open, max(price) AS high, min(price) AS low,
-       last(price ORDER BY trade_time, trade_id) AS close, sum(qty) AS volume_pepe, sum(usd_value) AS volume_usdt,
+       first(price ORDER BY trade_time, trade_id NULLS FIRST, price) AS open, max(price) AS high, min(price) AS low,
+       last(price ORDER BY trade_time, trade_id NULLS FIRST, price) AS close, sum(qty) AS volume_pepe, sum(usd_value) AS volume_usdt,
        count(trade_id) AS trade_count,
        count(CASE WHEN NOT is_sell THEN trade_id END) AS buyer_initiated_count,
        count(CASE WHEN is_sell THEN trade_id END) AS seller_initiated_count,
