@@ -68,3 +68,12 @@ def test_seed_end_bound_and_second_rounding(spark):
     df = spark.createDataFrame([(datetime(2026, 1, 1, 23, 59, 59, 600000),), (datetime(2026, 1, 1, 1, 0, 0, 400000),)], "t timestamp_ntz")
     got = [r.r for r in df.select(round_to_second("t").alias("r")).collect()]
     assert got == [datetime(2026, 1, 2, 0, 0, 0), datetime(2026, 1, 1, 1, 0, 0)]
+
+
+def test_fact_trades_datetime_rounding(spark):
+    silver = spark.createDataFrame(
+        [(1, 1.0, 1.0, 1.0, datetime(2026, 1, 1, 23, 59, 59, 600000), True, False, 1.0, 23, date(2026, 1, 1))],
+        "trade_id long, price double, qty double, quote_qty double, trade_time timestamp_ntz, is_buyer_maker boolean, "
+        "is_sell boolean, usd_value double, trade_hour int, processed_date date")
+    assert WH.fact_trades(silver).first().trade_time == datetime(2026, 1, 1, 23, 59, 59, 600000)
+    assert WH.fact_trades(silver, round_datetime=True).first().trade_time == datetime(2026, 1, 2)

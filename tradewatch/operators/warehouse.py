@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch.functions import date_id, day_of_week
+from tradewatch.functions import date_id, day_of_week, round_to_second
 from tradewatch.schemas import (
     DIM_DATE,
     DIM_TIME_WINDOW,
@@ -101,9 +101,16 @@ def _contract(df: DataFrame, contract) -> DataFrame:
     return df.select(*cols)
 
 
-def fact_trades(silver: DataFrame) -> DataFrame:
-    """The 11 fact_trades columns with warehouse decimals."""
-    return _contract(silver.withColumn("date_id", date_id("processed_date")), FACT_TRADES_CONTRACT)
+def fact_trades(silver: DataFrame, round_datetime: bool = False) -> DataFrame:
+    """The 11 fact_trades columns with warehouse decimals.
+
+    ``round_datetime`` stores ``trade_time`` as a DATETIME without fraction
+    would (half-up to the second, T16); by default microseconds are kept.
+    """
+    df = silver.withColumn("date_id", date_id("processed_date"))
+    if round_datetime:
+        df = df.withColumn("trade_time", round_to_second("trade_time"))
+    return _contract(df, FACT_TRADES_CONTRACT)
 
 
 def fact_pump_dump(events: DataFrame) -> DataFrame:
