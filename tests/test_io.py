@@ -58,6 +58,20 @@ def test_write_and_read_landing_round_trip(spark, tmpdir_run):
     assert back.exceptAll(want).count() == 0
 
 
+def test_small_chunks_and_spread(spark, tmpdir_run, monkeypatch):
+    t = trades_sparse(read_table(spark, SF001, "events")).where(F.col("trade_date") <= date(2024, 1, 2))
+    rows = t.select("trade_id", "price", "qty", (F.col("price") * F.col("qty")).alias("quote_qty"),
+                    to_epoch_us("trade_time").alias("time"), "is_buyer_maker", F.lit(True).alias("is_best_match"), "trade_date")
+    land = os.path.join(tmpdir_run, "landing")
+    LD.write_landing(rows, land, os.path.join(tmpdir_run, "staging"))
+    monkeypatch.setattr(LD, "CHUNK_BYTES", 100)  # lines straddle chunk edges
+    want = rows.select(F.col("trade_id").cast("string").alias("trade_id"), F.col("time").cast("string").alias("time"))
+    for spread in (True, False):
+        back = LD.read_landing(spark, land, spread=spread).select("trade_id", "time")
+        assert back.count() == want.count()
+        assert back.exceptAll(want).count() == 0
+
+
 def test_replace_days_clears_days_without_rows(spark, tmpdir_run):
     root = os.path.join(tmpdir_run, "gold")
     df = spark.createDataFrame([(1, D1), (2, D1), (3, D2)], "x long, trade_date date")

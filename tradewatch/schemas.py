@@ -25,6 +25,7 @@ from pyspark.sql.types import (
 LANDING_COLUMNS = ["trade_id", "price", "qty", "quote_qty", "time", "is_buyer_maker", "is_best_match"]
 
 LANDING = StructType([StructField(c, StringType(), True) for c in LANDING_COLUMNS])
+LANDING_DDL = ", ".join(f"{c} STRING" for c in LANDING_COLUMNS)
 
 BRONZE = StructType(
     LANDING.fields
