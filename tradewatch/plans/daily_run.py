@@ -103,7 +103,7 @@ def bronze_to_silver(spark: SparkSession, layout: Layout, days: list[date], cfg:
     report = DQ.dq_report(CL.typed_trades(bronze, cfg.clean), days, cfg.clean, cfg.dq, with_steps=True)
     rows = DQ.enforce(report, cfg.dq)
     silver = CL.clean_trades(bronze, cfg.clean)
-    LY.replace_days(silver, layout.silver, "processed_date", days, sort_within=["trade_time"])
+    LY.replace_days(silver, layout.silver, "processed_date", days)
     return rows
 
 

@@ -42,10 +42,12 @@ def replace_days(df: DataFrame, root: str, day_col: str, days: list[date], sort_
     """
     spark = df.sparkSession
     out = df.where(F.col(day_col).isin(list(days))) if days else df
-    # Cluster rows by day for few files per day, but let AQE split a day that
-    # is much larger than the others (REBALANCE) and merge small ones: a hot
-    # day never lands in a single task. Files are sorted for later scans.
-    out = out.hint("rebalance", day_col)
+    if days is None or len(days) != 1:
+        # Several days: cluster rows by day for few files per day, but let AQE
+        # split a day much larger than the others (REBALANCE) and merge small
+        # ones, so a hot day never lands in a single task. A one-day write
+        # needs no extra shuffle: every task already holds only that day.
+        out = out.hint("rebalance", day_col)
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
     # The days actually written, gathered during the write itself (no second pass).
