@@ -1,6 +1,7 @@
 import os
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from tradewatch.functions import to_epoch_us
@@ -66,3 +67,17 @@ def test_day_without_pumps(spark, tmpdir_run):
     assert {r.trade_date for r in spark.read.parquet(lay.ohlcv).select("trade_date").distinct().collect()} == {
         date(2024, 1, 1), date(2024, 1, 2)}
     assert not os.path.exists(f"{lay.pump}/trade_date=2024-01-02")
+
+
+def test_cli_stages(spark, tmpdir_run):
+    from tradewatch.__main__ import main
+
+    lay = Layout(tmpdir_run)
+    LD.write_landing(_landing_rows(spark).where(F.col("trade_date") == date(2024, 1, 5)), lay.landing, tmpdir_run + "/staging")
+    args = ["--root", tmpdir_run, "--ds", "2024-01-05"]
+    for stage in ["ingest", "bronze-to-silver", "ohlcv", "pump-dump", "wash-trade", "load"]:
+        main([stage, *args])
+    counts = main(["validate", *args])["counts"]
+    assert counts[0]["fact_trades"] > 0
+    with pytest.raises(SystemExit):
+        main(["run", "--root", tmpdir_run])

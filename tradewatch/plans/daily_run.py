@@ -107,22 +107,37 @@ def bronze_to_silver(spark: SparkSession, layout: Layout, days: list[date], cfg:
     return rows
 
 
-def gold(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig, finite: bool = False) -> None:
-    """Candles, then pump-and-dump on the written candles; wash pairs on silver.
+def candles_stage(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig) -> None:
+    """Silver -> 5-minute candles."""
+    silver = LY.read_days(spark, layout.silver, "processed_date", days, schema=SILVER_STORED)
+    LY.replace_days(C.ohlcv(silver, cfg.candles), layout.ohlcv, "trade_date", days, sort_within=["window_start"])
+
+
+def pump_stage(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig) -> None:
+    """Written candles -> pump-and-dump events (runs after C2, T5)."""
+    written = LY.read_days(spark, layout.ohlcv, "trade_date", days, schema=OHLCV)
+    LY.replace_days(P.pump_dump(written, cfg.pump), layout.pump, "trade_date", days)
+
+
+def wash_stage(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig, finite: bool = False) -> None:
+    """C4: silver -> wash-trade pairs.
 
     ``finite``: the DQ aggregate found no NaN or infinite price / quantity in
     the kept rows, so the wash join may skip its sentinel copies.
     """
     silver = LY.read_days(spark, layout.silver, "processed_date", days, schema=SILVER_STORED)
-    candles = C.ohlcv(silver, cfg.candles)
-    LY.replace_days(candles, layout.ohlcv, "trade_date", days, sort_within=["window_start"])
-    written = LY.read_days(spark, layout.ohlcv, "trade_date", days, schema=OHLCV)
-    LY.replace_days(P.pump_dump(written, cfg.pump), layout.pump, "trade_date", days)
     trades = silver.withColumnRenamed("processed_date", "trade_date")
     wash_cfg = replace(cfg.wash, values_finite=True) if finite else cfg.wash
     LY.replace_days(W.wash_pairs(trades, wash_cfg), layout.wash, "trade_date", days)
 
 
+def gold(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig, finite: bool = False) -> None:
+    """Candles, then pump-and-dump on the written candles; wash pairs on silver."""
+    candles_stage(spark, layout, days, cfg)
+    pump_stage(spark, layout, days, cfg)
+    wash_stage(spark, layout, days, cfg, finite)
+
+
 def load_warehouse(spark: SparkSession, layout: Layout, days: list[date]) -> None:
     """dim_date insert-if-absent, then the fact tables, each day replaced."""
     new_dim = WH.dim_date_for(_days_frame(spark, days), "trade_date")
