@@ -2,6 +2,15 @@
 
 Defaults reproduce the behaviour of the surveyed daily pipeline ("as coded");
 options that fix one of its known traps are off by default and named after it.
+
+Fixed values (defaults that must equal the surveyed pipeline's for equal
+results): minimum rows 100,000; invalid price, invalid quantity and
+out-of-range rates at most 1 %, 1 %, 5 %; candle width 5 minutes; pump at
++10 % with volume at least 2.5 x the rolling average over candles -3..+3;
+look-ahead 12 candles; dump at -7 %; severity HIGH from 20 %, MEDIUM from
+10 %; wash time difference below 1000, price difference below 0.1 %,
+quantity similarity above 90 %; score weights 0.40 / 0.35 / 0.25; pairs kept
+from score 0.8, high confidence from 0.95; one-second buckets.
 """
 
 from __future__ import annotations
