@@ -24,12 +24,12 @@ def _zip(path, members):
 def test_landing_members_and_missing_days(spark, tmpdir_run):
     land = os.path.join(tmpdir_run, "landing")
     os.makedirs(land)
-    _zip(f"{land}/PEPEUSDT-trades-{D1}.zip", [
+    _zip(f"{land}/ABCUSDT-trades-{D1}.zip", [
         ("readme.txt", "x"),
         ("a.csv", "1,0.5,10,5,1776038400000000,True,True,extra\n2,0.6,10,6,1776038400000001,False,True\n"),
         ("b.csv", "9,9,9,9,9,True,True\n"),
     ])
-    _zip(f"{land}/PEPEUSDT-trades-{D2}.zip", [("notes.txt", "no csv")])
+    _zip(f"{land}/ABCUSDT-trades-{D2}.zip", [("notes.txt", "no csv")])
     days = spark.createDataFrame([(D1,), (D2,), (date(2026, 4, 15),)], "trade_date date")
     inv = {r.trade_date: r.found for r in LD.landing_inventory(spark, land, days).collect()}
     assert inv == {D1: True, D2: True, date(2026, 4, 15): False}
@@ -37,7 +37,7 @@ def test_landing_members_and_missing_days(spark, tmpdir_run):
         LD.require_landing(spark, land, days)
     rows = LD.read_landing(spark, land, [D1]).orderBy("trade_id").collect()
     assert [r.trade_id for r in rows] == ["1", "2"]  # first csv only, surplus field ignored
-    assert rows[0].is_buyer_maker == "True" and rows[0]._source_file == f"PEPEUSDT-trades-{D1}.zip"
+    assert rows[0].is_buyer_maker == "True" and rows[0]._source_file == f"ABCUSDT-trades-{D1}.zip"
     assert rows[0].trade_date == D1
     with pytest.raises(Exception, match="No CSV found"):
         LD.read_landing(spark, land, [D2]).collect()
@@ -90,9 +90,9 @@ def test_replace_days_clears_days_without_rows(spark, tmpdir_run):
 def test_extracted_csv_reader(spark, tmpdir_run):
     d = os.path.join(tmpdir_run, "csv")
     os.makedirs(d)
-    with open(os.path.join(d, "PEPEUSDT-trades-2026-04-13.csv"), "w") as f:
+    with open(os.path.join(d, "ABCUSDT-trades-2026-04-13.csv"), "w") as f:
         f.write("1,0.5,10,5,1776038400000000,True,True,extra\n2,0.6,10,6,1776038400000001,False\n")
     rows = LD.read_landing_csv(spark, d).orderBy("trade_id").collect()
     assert [r.trade_id for r in rows] == ["1", "2"]
     assert rows[0].is_best_match == "True" and rows[1].is_best_match is None
-    assert rows[0].trade_date == D1 and rows[0]._source_file == "PEPEUSDT-trades-2026-04-13.csv"
+    assert rows[0].trade_date == D1 and rows[0]._source_file == "ABCUSDT-trades-2026-04-13.csv"

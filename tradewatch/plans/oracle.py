@@ -267,7 +267,7 @@ FROM d LEFT JOIN t ON t.trade_date = d.full_date LEFT JOIN p ON p.trade_date = d
     "missing_days": f"{DIM_SPAN} SELECT full_date AS trade_date, full_date IN (SELECT DISTINCT trade_date FROM ({SPARSE}) t) AS found FROM d",
     "zip_ingest": f"""
 SELECT trade_id, price, qty, price * qty AS quote_qty, epoch_us(trade_time) AS time, is_buyer_maker, true AS is_best_match,
-       trade_time, 'PEPEUSDT-trades-' || strftime(trade_date, '%Y-%m-%d') || '.zip' AS _source_file, trade_date
+       trade_time, 'ABCUSDT-trades-' || strftime(trade_date, '%Y-%m-%d') || '.zip' AS _source_file, trade_date
 FROM ({SPARSE}) t""",
     "day_overwrite": f"""
 WITH c AS ({CANDLES}),

@@ -60,6 +60,7 @@ SILVER_STORED = StructType(
     + [StructField("_source_file", StringType(), True), StructField("_ingested_at", TimestampNTZType(), True)]
 )
 
+# The gold candle table's column names, as its consumers read them.
 OHLCV = StructType(
     [
         StructField("trade_date", DateType(), True),

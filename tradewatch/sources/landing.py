@@ -43,7 +43,7 @@ def _ship_by_value() -> None:
 _ship_by_value()
 
 # Landing file name pattern ``<SYMBOL>-trades-<YYYY-MM-DD>.zip``.
-DEFAULT_SYMBOL = "PEPEUSDT"
+DEFAULT_SYMBOL = "ABCUSDT"
 NAME_RE = r"([A-Z0-9]+)-trades-(\d{4}-\d{2}-\d{2})\.zip$"
 CHUNK_BYTES = 8 << 20
 
