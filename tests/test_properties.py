@@ -90,3 +90,66 @@ def test_pump_events_match_model(spark, cv):
     want = sorted((i, round(p, 9), m) for i, p, m in model_events(closes, vols))
     assert got == want
     assert sorted(P.pump_dump(c).collect()) == sorted(P.pump_dump_join_form(c).collect())
+
+
+# ------------------------------------------------------------------ cleaning and DQ
+from tradewatch.operators import dq as DQ  # noqa: E402
+from tradewatch.operators.clean import clean_trades, typed_trades  # noqa: E402
+
+DAY = date(2024, 1, 1)
+T_DAY = 1704067200000000
+TEXT = "trade_id string, price string, qty string, quote_qty string, time string, is_buyer_maker string, is_best_match string, trade_date date"
+
+num_text = st.sampled_from(["1.5", "2", "0", "-1", "NaN", "abc", "", None, "3.25"])
+raw_row = st.tuples(
+    st.sampled_from(["1", "2", "3", "4", None, "x"]),
+    num_text,
+    num_text,
+    st.sampled_from([str(T_DAY + 5), str(T_DAY + 3_600_000_000), str(T_DAY + 86_400_000_000), str(T_DAY - 1), None, "t"]),
+    st.sampled_from(["true", "false", "True", None, "maybe"]),
+)
+
+
+def _num(x):
+    try:
+        return float(x)
+    except (TypeError, ValueError):
+        return None
+
+
+def _int(x):
+    try:
+        return int(x)
+    except (TypeError, ValueError):
+        return None
+
+
+def _gt0(v):  # Spark: NaN is larger than every number, NULL compares as NULL
+    return v is not None and (v != v or v > 0)
+
+
+def model_dq(rows):
+    total = len(rows)
+    price = [_num(r[1]) for r in rows]
+    qty = [_num(r[2]) for r in rows]
+    times = [_int(r[3]) for r in rows]
+    in_day = [t is not None and T_DAY <= t < T_DAY + 86_400_000_000 for t in times]
+    ids = [_int(r[0]) for r in rows]
+    bad_p = sum(1 for p in price if p is None or (p == p and p <= 0))
+    bad_q = sum(1 for q in qty if q is None or (q == q and q <= 0))
+    out = sum(1 for ok in in_day if not ok)
+    dups = total - len(set(ids))
+    kept = [i for i in range(total) if _gt0(price[i]) and _gt0(qty[i]) and in_day[i]]
+    survivors = {ids[i] for i in kept}
+    return (total, bad_p, bad_q, out, dups), survivors
+
+
+@settings(**SETTINGS)
+@given(st.lists(raw_row, min_size=1, max_size=25))
+def test_clean_and_dq_match_model(spark, rows):
+    df = spark.createDataFrame([(i, p, q, None, t, s, "true", DAY) for i, p, q, t, s in rows], TEXT)
+    r = DQ.dq_report(typed_trades(df)).collect()[0]
+    want_counts, want_ids = model_dq(rows)
+    assert (r.total_rows, r.invalid_prices, r.invalid_qty, r.out_of_range_timestamps, r.duplicate_trade_ids) == want_counts
+    got = clean_trades(df).collect()
+    assert {x.trade_id for x in got} == want_ids and len(got) == len(want_ids)
