@@ -29,6 +29,9 @@ def test_two_days_end_to_end_and_idempotent(spark, tmpdir_run):
     want = {r.trade_date: r["count"] for r in rows.where(F.col("trade_date").isin(days)).groupBy("trade_date").count().collect()}
     assert {d: c["fact_trades"] for d, c in counts.items()} == want
     first = sorted(spark.read.parquet(lay.pump).collect())
+    assert out["written"]["bronze"] == sum(want.values())
+    assert out["written"]["pump_dump_signals"] == len(first)
+    assert out["written"]["ohlcv_5min"] == spark.read.parquet(lay.ohlcv).count()
     run_days(spark, lay, days)  # re-run: same tables, no duplicates
     assert sorted(spark.read.parquet(lay.pump).collect()) == first
     assert spark.read.parquet(lay.dw("dim_date")).count() == 2

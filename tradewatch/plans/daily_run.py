@@ -89,11 +89,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def ingest(spark: SparkSession, layout: Layout, days: list[date]) -> None:
+def ingest(spark: SparkSession, layout: Layout, days: list[date]) -> dict:
     """Check the landing archives of ``days`` and load them into bronze."""
     LD.require_landing(spark, layout.landing, _days_frame(spark, days))
     bronze = LD.read_landing(spark, layout.landing, days)
-    LY.replace_days(bronze, layout.bronze, "trade_date", days)
+    return LY.replace_days(bronze, layout.bronze, "trade_date", days)
 
 
 def bronze_to_silver(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig) -> list[dict]:
@@ -107,19 +107,19 @@ def bronze_to_silver(spark: SparkSession, layout: Layout, days: list[date], cfg:
     return rows
 
 
-def candles_stage(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig) -> None:
+def candles_stage(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig) -> dict:
     """Silver -> 5-minute candles."""
     silver = LY.read_days(spark, layout.silver, "processed_date", days, schema=SILVER_STORED)
-    LY.replace_days(C.ohlcv(silver, cfg.candles), layout.ohlcv, "trade_date", days, sort_within=["window_start"])
+    return LY.replace_days(C.ohlcv(silver, cfg.candles), layout.ohlcv, "trade_date", days, sort_within=["window_start"])
 
 
-def pump_stage(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig) -> None:
+def pump_stage(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig) -> dict:
     """Written candles -> pump-and-dump events (runs after C2, T5)."""
     written = LY.read_days(spark, layout.ohlcv, "trade_date", days, schema=OHLCV)
-    LY.replace_days(P.pump_dump(written, cfg.pump), layout.pump, "trade_date", days)
+    return LY.replace_days(P.pump_dump(written, cfg.pump), layout.pump, "trade_date", days)
 
 
-def wash_stage(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig, finite: bool = False) -> None:
+def wash_stage(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig, finite: bool = False) -> dict:
     """C4: silver -> wash-trade pairs.
 
     ``finite``: the DQ aggregate found no NaN or infinite price / quantity in
@@ -128,14 +128,18 @@ def wash_stage(spark: SparkSession, layout: Layout, days: list[date], cfg: RunCo
     silver = LY.read_days(spark, layout.silver, "processed_date", days, schema=SILVER_STORED)
     trades = silver.withColumnRenamed("processed_date", "trade_date")
     wash_cfg = replace(cfg.wash, values_finite=True) if finite else cfg.wash
-    LY.replace_days(W.wash_pairs(trades, wash_cfg), layout.wash, "trade_date", days)
+    return LY.replace_days(W.wash_pairs(trades, wash_cfg), layout.wash, "trade_date", days)
+
 
+def gold(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig, finite: bool = False) -> dict:
+    """Candles, then pump-and-dump on the written candles; wash pairs on silver.
 
-def gold(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig, finite: bool = False) -> None:
-    """Candles, then pump-and-dump on the written candles; wash pairs on silver."""
-    candles_stage(spark, layout, days, cfg)
-    pump_stage(spark, layout, days, cfg)
-    wash_stage(spark, layout, days, cfg, finite)
+    Returns the rows written per table (observed during the writes)."""
+    return {
+        "ohlcv_5min": candles_stage(spark, layout, days, cfg)["rows"],
+        "pump_dump_signals": pump_stage(spark, layout, days, cfg)["rows"],
+        "wash_trade_signals": wash_stage(spark, layout, days, cfg, finite)["rows"],
+    }
 
 
 def load_warehouse(spark: SparkSession, layout: Layout, days: list[date]) -> None:
@@ -169,15 +173,17 @@ def validate(spark: SparkSession, layout: Layout, days: list[date]) -> list[dict
 
 
 def run_days(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig = RunConfig(), from_landing: bool = True) -> dict:
-    """C0-C6 for ``days``; returns the DQ report and the warehouse counts."""
+    """C0-C6 for ``days``; returns the DQ report (with step counts), the rows
+    written per table and the per-day warehouse counts."""
     days = sorted(set(days))
+    written = {}
     if from_landing:
-        ingest(spark, layout, days)
+        written["bronze"] = ingest(spark, layout, days)["rows"]
     dq_rows = bronze_to_silver(spark, layout, days, cfg)
     finite = all(not r.get("nonfinite_kept") for r in dq_rows)
-    gold(spark, layout, days, cfg, finite=finite)
+    written.update(gold(spark, layout, days, cfg, finite=finite))
     load_warehouse(spark, layout, days)
-    return {"dq": dq_rows, "counts": validate(spark, layout, days)}
+    return {"dq": dq_rows, "written": written, "counts": validate(spark, layout, days)}
 
 
 def write_bronze(trades: DataFrame, layout: Layout, days: list[date]) -> None:

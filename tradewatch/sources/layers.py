@@ -33,9 +33,13 @@ def read_days(
     return df
 
 
-def replace_days(df: DataFrame, root: str, day_col: str, days: list[date], sort_within: list[str] | None = None) -> None:
+def replace_days(
+    df: DataFrame, root: str, day_col: str, days: list[date], sort_within: list[str] | None = None
+) -> dict:
     """Make ``root`` hold exactly ``df``'s rows for each day in ``days``.
 
+    Returns the rows and days written, observed during the write itself (A12).
+
     Days with rows: dynamic partition overwrite (other days untouched).
     Days without rows: their partition folder is overwritten by an empty
     frame of the same schema, which deletes the old files.
@@ -52,19 +56,24 @@ def replace_days(df: DataFrame, root: str, day_col: str, days: list[date], sort_
         out = out.sortWithinPartitions(*sort_within)
     # The days actually written, gathered during the write itself (no second pass).
     seen = Observation("written_days")
-    out = out.observe(seen, F.collect_set(F.col(day_col).cast("string")).alias("days"))
+    out = out.observe(
+        seen, F.collect_set(F.col(day_col).cast("string")).alias("days"), F.count(F.lit(1)).alias("rows")
+    )
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         out.write.mode("overwrite").partitionBy(day_col).parquet(root)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    metrics = seen.get
+    written = {"rows": int(metrics.get("rows") or 0), "days": sorted(metrics.get("days") or [])}
     if not days:
-        return
-    present = set(seen.get.get("days") or [])
+        return written
+    present = set(written["days"])
     for d in days:
         if str(d) not in present:
             delete_path(spark, f"{root}/{day_col}={d}")
+    return written
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:
