@@ -10,6 +10,10 @@ query keeps running and picks up archives as they land.
 
 The stream only carries file paths (``binaryFile`` with the content column
 pruned); the archives themselves are read by the batch run, one task each.
+A failing run (a DQ gate, a missing file) fails the micro-batch, which is not
+committed to the checkpoint, so the next start retries the same archives. An
+archive re-delivered under a name already processed is not picked up again;
+re-run its day with :func:`run_days` directly.
 """
 
 from __future__ import annotations
