@@ -84,3 +84,21 @@ def test_cli_stages(spark, tmpdir_run):
     assert counts[0]["fact_trades"] > 0
     with pytest.raises(SystemExit):
         main(["run", "--root", tmpdir_run])
+
+
+def test_sql_views_over_the_warehouse(spark, tmpdir_run):
+    from tradewatch.plans.views import register_views
+
+    lay = Layout(tmpdir_run)
+    rows = _landing_rows(spark).where(F.col("trade_date") <= date(2024, 1, 2))
+    LD.write_landing(rows, lay.landing, tmpdir_run + "/staging")
+    run_days(spark, lay, [date(2024, 1, 1), date(2024, 1, 2)])
+    names = register_views(spark, lay)
+    assert {"fact_trades", "dim_date", "ohlcv_5min", "fact_pump_dump_events"} <= set(names)
+    n = spark.sql("SELECT COUNT(*) AS n FROM fact_trades WHERE processed_date = DATE'2024-01-01'").first().n
+    assert n == rows.where(F.col("trade_date") == date(2024, 1, 1)).count()
+    star = spark.sql("""
+        SELECT d.day_of_week, d.is_weekend, COUNT(*) AS trades, SUM(t.usd_value) AS notional
+        FROM fact_trades t JOIN dim_date d ON t.date_id = d.date_id
+        GROUP BY d.day_of_week, d.is_weekend""").collect()
+    assert len(star) == 2 and sum(r.trades for r in star) == rows.count()

@@ -1,4 +1,4 @@
-"""Data-quality report and gates (Q1-Q7) and cleaning step counts.
+"""Data-quality report and gates (Q1-Q6) and cleaning step counts.
 
 The surveyed suite ran ten ``count()`` actions per day. Here every measure of
 every day comes from one two-level aggregate: first per (day, trade_id) —
