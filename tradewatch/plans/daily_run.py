@@ -92,7 +92,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def ingest(spark: SparkSession, layout: Layout, days: list[date]) -> dict:
     """Check the landing archives of ``days`` and load them into bronze."""
     LD.require_landing(spark, layout.landing, _days_frame(spark, days))
-    bronze = LD.read_landing(spark, layout.landing, days)
+    # One archive per day is present now: spread the chunks when days are fewer than task slots.
+    spread = len(days) < max(1, spark.sparkContext.defaultParallelism)
+    bronze = LD.read_landing(spark, layout.landing, days, spread=spread)
     return LY.replace_days(bronze, layout.bronze, "trade_date", days)
 
 
