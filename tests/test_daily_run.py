@@ -102,3 +102,22 @@ def test_sql_views_over_the_warehouse(spark, tmpdir_run):
         FROM fact_trades t JOIN dim_date d ON t.date_id = d.date_id
         GROUP BY d.day_of_week, d.is_weekend""").collect()
     assert len(star) == 2 and sum(r.trades for r in star) == rows.count()
+
+
+def test_stream_retries_a_failed_batch(spark, tmpdir_run):
+    from tradewatch.config import DQConfig
+    from tradewatch.plans.daily_run import RunConfig
+
+    lay = Layout(tmpdir_run)
+    day = _landing_rows(spark).where(F.col("trade_date") == date(2024, 1, 7))
+    bad = day.withColumn("price", F.when(F.col("trade_id") % 10 == 0, F.lit(-1.0)).otherwise(F.col("price")))
+    LD.write_landing(bad, lay.landing, tmpdir_run + "/staging")
+    strict = landing_trigger.start(spark, lay, tmpdir_run + "/ckpt")
+    with pytest.raises(Exception, match="price invalidity"):
+        strict.awaitTermination()
+    assert not os.path.exists(lay.dw("fact_trades"))
+    # same checkpoint, looser gate: the uncommitted batch is retried and now loads
+    loose = RunConfig(dq=DQConfig(max_invalid_price_rate=0.5))
+    q = landing_trigger.start(spark, lay, tmpdir_run + "/ckpt", cfg=loose)
+    q.awaitTermination()
+    assert spark.read.parquet(lay.dw("fact_trades")).count() == bad.where("price > 0").count()
