@@ -41,8 +41,7 @@ def replace_days(
     Returns the rows and days written, observed during the write itself (A12).
 
     Days with rows: dynamic partition overwrite (other days untouched).
-    Days without rows: their partition folder is overwritten by an empty
-    frame of the same schema, which deletes the old files.
+    Days without rows: their partition folder is deleted after the write.
     """
     spark = df.sparkSession
     out = df.where(F.col(day_col).isin(list(days))) if days else df
@@ -59,12 +58,8 @@ def replace_days(
     out = out.observe(
         seen, F.collect_set(F.col(day_col).cast("string")).alias("days"), F.count(F.lit(1)).alias("rows")
     )
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out.write.mode("overwrite").partitionBy(day_col).parquet(root)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    # Per-write option: only the days present in ``out`` are replaced.
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(root)
     metrics = seen.get
     written = {"rows": int(metrics.get("rows") or 0), "days": sorted(metrics.get("days") or [])}
     if not days:
