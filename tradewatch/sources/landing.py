@@ -3,11 +3,13 @@
 * :func:`landing_inventory` lists the archives with Spark's ``binaryFile``
   source, reading only path and length (the content column is pruned), and
   anti-joins the expected days against the found ones (S1).
-* :func:`read_landing` turns archives into bronze rows: one task per archive
-  streams the first ``*.csv`` member in chunks (``mapInPandas``), so an
-  archive is never held in memory whole and many archives load in parallel
-  (S2-S4). Archives are the unit of the landing format — one day of one
-  symbol — and cannot be split further.
+* :func:`read_landing` turns archives into bronze rows (S2-S4): one task per
+  archive decompresses the first ``*.csv`` member into line-aligned text
+  chunks (``mapInPandas``, bounded memory), and Spark's CSV parser
+  (``from_csv``) splits the lines, after dealing the chunks over the cluster
+  when there are fewer archives than task slots. A zip member is one
+  sequential deflate stream, so decompression is the only per-archive step.
+* :func:`read_landing_csv` reads already-extracted CSV files (S3).
 * :func:`write_landing` produces archives from trade rows (used to build test
   landings from the given tables): Spark writes the day's CSV parts in
   parallel, then one task per day streams them into the zip.
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tradewatch.schemas import LANDING, LANDING_COLUMNS, LANDING_DDL
 
+
 def _ship_by_value() -> None:
     """Send this module's task functions with the tasks, so executors need not
     have the package installed (they only need pandas and pyarrow)."""
