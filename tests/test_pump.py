@@ -101,3 +101,12 @@ def test_frame_is_a_parameter(spark):
     c = candles(spark, [50, 55, 55, 55, 55] + [51] * 12, [1, 4, 1, 1, 1] + [1] * 12)
     # trailing-only average (row itself and 6 before): avg at row 1 = 2.5, 2.5*2.5 > 4 -> no pump
     assert P.pump_dump(c, PumpConfig(avg_frame=(-6, 0))).count() == 0
+
+
+def test_plans_have_no_nested_loops(spark):
+    c = ohlcv(trades_sparse(read_table(spark, SF001, "events")))
+    for df in (P.pump_dump(c), P.pump_dump_join_form(c)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+        # windows are partitioned by day, never a single partition
+        assert "SinglePartition" not in plan
