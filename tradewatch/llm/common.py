@@ -21,9 +21,14 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 _shipped: set[str] = set()
 
 
+BATCH_ROWS = 256
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Hands this package to Spark once per application, so that Python workers can import it."""
+    """Readies a session for Python workers: hands them this package, once per application, and
+    bounds an Arrow batch to ``BATCH_ROWS`` texts, as one text may be very long."""
     sc = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     if sc.applicationId in _shipped:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -17,8 +17,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLOTS = 4099  # prime; over a hundred slots a shard keep shards within about one percent of even
-N_SHARDS = 32
+SLOTS = 2053  # prime; over a hundred slots a shard keep shards within about one percent of even
+N_SHARDS = 16
 MAX_SLOTS = 1_000_003
 
 

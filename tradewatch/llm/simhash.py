@@ -149,3 +149,17 @@ def near_duplicates(
     return fps.join(ids, "fp").select(
         id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id, of equal ids the one
+    with the smallest text hash; rows without an id come last. Of rows that repeat the same id and
+    text one stays. Columns and the texts of the rows that stay are as they were.
+    """
+    ident = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.xxhash64("text").alias("text_key"))
+    found = near_duplicates(docs.select(ident.alias("ident"), "text"), shingle, radius, "ident")
+    first = found.where("ident = component_id").select("ident.doc_id", "ident.text_key").distinct()
+    first = cut(first.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__first")))
+    keyed = docs.withColumn("__key", F.xxhash64("text"))
+    mine = keyed["doc_id"].eqNullSafe(first["__id"]) & (keyed["__key"] == first["__first"])
+    return keyed.join(first, mine, "left_semi").dropDuplicates(["doc_id", "__key"]).select(*docs.columns)
