@@ -84,13 +84,18 @@ def segments(radius: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
+def _signed(bits: int) -> Column:
+    """64 bits as a long."""
+    return F.lit(bits - (1 << BITS) if bits >> (BITS - 1) else bits).cast("long")
+
+
 def _part(fp: Column, low: int, width: int) -> Column:
-    return F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << width) - 1))
+    return F.shiftrightunsigned(fp, low).bitwiseAND(_signed((1 << width) - 1))
 
 
 def _flips(part: Column, width: int, tag: Column) -> Column:
     """Look-ups of a segment with one of its zero bits set."""
-    bits = F.array(*[F.lit(1 << b) for b in range(width)]).cast("array<bigint>")
+    bits = F.array(*[_signed(1 << b) for b in range(width)])
     return F.transform(
         F.filter(bits, lambda x: part.bitwiseAND(x) == 0),
         lambda x: F.struct(tag.alias("seg"), part.bitwiseOR(x).alias("key"), F.lit(True).alias("flip")),
