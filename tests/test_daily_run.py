@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tradewatch.functions import to_epoch_us
 from tradewatch.plans.daily_run import Layout, run_days
+from tradewatch.schemas import WASH_PAIRS
 from tradewatch.sources import landing as LD
 from tradewatch.sources.fixtures import read_table, trades_sparse
 from tradewatch.streaming import landing_trigger
@@ -34,7 +35,11 @@ def test_two_days_end_to_end_and_idempotent(spark, tmpdir_run):
     assert out["written"]["ohlcv_5min"] == spark.read.parquet(lay.ohlcv).count()
     run_days(spark, lay, days)  # re-run: same tables, no duplicates
     assert sorted(spark.read.parquet(lay.pump).collect()) == first
-    assert spark.read.parquet(lay.dw("dim_date")).count() == 2
+    # The seeded calendar (S11) and the run's two days, once.
+    assert spark.read.parquet(lay.dw("dim_date")).count() == 400 + 2
+    assert len(out["warnings"]) == 2 and all("fewer than" in w for w in out["warnings"])
+    high = spark.read.schema(WASH_PAIRS).parquet(lay.wash).where("wash_score >= 0.95").count()
+    assert set(out["high_confidence_pairs"]) == {"2024-01-01", "2024-01-02"} and sum(out["high_confidence_pairs"].values()) == high
     assert spark.read.parquet(lay.dw("fact_trades")).count() == sum(want.values())
 
 
@@ -65,7 +70,6 @@ def test_day_without_pumps(spark, tmpdir_run):
     assert c[date(2024, 1, 1)]["fact_pump_dump_events"] > 0
     assert c[date(2024, 1, 2)]["fact_pump_dump_events"] == 0
     assert c[date(2024, 1, 2)]["fact_trades"] == day2.count()
-    assert all(r["nonfinite_kept"] == 0 for r in out["dq"])
     # candles exist for both days; the pump table has no folder for day 2
     assert {r.trade_date for r in spark.read.parquet(lay.ohlcv).select("trade_date").distinct().collect()} == {
         date(2024, 1, 1), date(2024, 1, 2)}
@@ -121,3 +125,30 @@ def test_stream_retries_a_failed_batch(spark, tmpdir_run):
     q = landing_trigger.start(spark, lay, tmpdir_run + "/ckpt", cfg=loose)
     q.awaitTermination()
     assert spark.read.parquet(lay.dw("fact_trades")).count() == bad.where("price > 0").count()
+
+
+def test_contract_stops_the_load(spark, tmpdir_run):
+    from tradewatch.operators.warehouse import ContractError
+    from tradewatch.plans.daily_run import load_warehouse
+
+    days = [date(2024, 1, 1), date(2024, 1, 2)]
+    day1 = _landing_rows(spark).where(F.col("trade_date") == days[0])
+    moved = day1.where("trade_id % 2 = 0").select(
+        "trade_id", "price", "qty", "quote_qty", (F.col("time") + 86_400_000_000).alias("time"), "is_buyer_maker", "is_best_match",
+        F.lit(days[1]).alias("trade_date"))
+    cases = {
+        "duplicate keys": day1.unionByName(moved),
+        "without a valid price": day1.withColumn("price", F.when(F.col("trade_id") % 10 == 0, F.lit(1e11)).otherwise(F.col("price"))),
+        "without a valid is_sell": day1.withColumn("is_buyer_maker", F.when(F.col("trade_id") % 10 != 0, F.col("is_buyer_maker"))),
+    }
+    for n, (message, rows) in enumerate(cases.items()):
+        lay = Layout(f"{tmpdir_run}/{n}")
+        LD.write_landing(rows, lay.landing, f"{tmpdir_run}/staging-{n}")
+        with pytest.raises(ContractError, match=message):
+            run_days(spark, lay, sorted({r.trade_date for r in rows.select("trade_date").distinct().collect()}))
+        assert not os.path.exists(lay.dw("fact_trades"))
+    # An id that an earlier load already has.
+    lay = Layout(f"{tmpdir_run}/0")
+    load_warehouse(spark, lay, days[:1])
+    with pytest.raises(ContractError, match="2024-01-02: [0-9]+ keys are loaded already"):
+        load_warehouse(spark, lay, days[1:])

@@ -39,7 +39,7 @@ def test_landing_members_and_missing_days(spark, tmpdir_run):
     assert [r.trade_id for r in rows] == ["1", "2"]  # first csv only, surplus field ignored
     assert rows[0].is_buyer_maker == "True" and rows[0]._source_file == f"ABCUSDT-trades-{D1}.zip"
     assert rows[0].trade_date == D1
-    with pytest.raises(Exception, match="No CSV found"):
+    with pytest.raises(Exception, match="no CSV entry"):
         LD.read_landing(spark, land, [D2]).collect()
 
 
@@ -58,7 +58,7 @@ def test_write_and_read_landing_round_trip(spark, tmpdir_run):
     assert back.exceptAll(want).count() == 0
 
 
-def test_small_chunks_and_spread(spark, tmpdir_run, monkeypatch):
+def test_small_chunks(spark, tmpdir_run, monkeypatch):
     t = trades_sparse(read_table(spark, SF001, "events")).where(F.col("trade_date") <= date(2024, 1, 2))
     rows = t.select("trade_id", "price", "qty", (F.col("price") * F.col("qty")).alias("quote_qty"),
                     to_epoch_us("trade_time").alias("time"), "is_buyer_maker", F.lit(True).alias("is_best_match"), "trade_date")
@@ -66,10 +66,78 @@ def test_small_chunks_and_spread(spark, tmpdir_run, monkeypatch):
     LD.write_landing(rows, land, os.path.join(tmpdir_run, "staging"))
     monkeypatch.setattr(LD, "CHUNK_BYTES", 100)  # lines straddle chunk edges
     want = rows.select(F.col("trade_id").cast("string").alias("trade_id"), F.col("time").cast("string").alias("time"))
-    for spread in (True, False):
-        back = LD.read_landing(spark, land, spread=spread).select("trade_id", "time")
-        assert back.count() == want.count()
-        assert back.exceptAll(want).count() == 0
+    back = LD.read_landing(spark, land).select("trade_id", "time")
+    assert back.count() == want.count()
+    assert back.exceptAll(want).count() == 0
+
+
+def _small_landing(spark, root, symbols=("ABCUSDT",)):
+    rows = spark.createDataFrame([(i, 1.0 + i, 2.0, 2.0 + i, 1704067200_000000 + i, True, True, date(2024, 1, 1)) for i in range(5)],
+                                 "trade_id long, price double, qty double, quote_qty double, time long, is_buyer_maker boolean, "
+                                 "is_best_match boolean, trade_date date")
+    land = os.path.join(root, "landing")
+    for n, s in enumerate(symbols):
+        LD.write_landing(rows.withColumn("price", F.col("price") * (n + 1)), land, os.path.join(root, f"staging-{s}"), s)
+    return land
+
+
+def test_foreign_names_and_impossible_days_are_ignored(spark, tmpdir_run):
+    land = _small_landing(spark, tmpdir_run)
+    for name in ("notes.zip", "ABCUSDT-trades-2026-02-31.zip", "old-ABCUSDT-trades-2024-01-01.zip"):
+        with open(os.path.join(land, name), "wb") as f:
+            f.write(b"not an archive")
+    days = spark.createDataFrame([(date(2024, 1, 1),), (date(2024, 1, 2),)], "trade_date date")
+    assert {(r.trade_date.day, r.found) for r in LD.landing_inventory(spark, land, days).collect()} == {(1, True), (2, False)}
+    with pytest.raises(FileNotFoundError, match="2024-01-02"):
+        LD.require_landing(spark, land, days)
+    assert {r.file_name for r in LD.ignored_files(spark, land).collect()} == {
+        "notes.zip", "ABCUSDT-trades-2026-02-31.zip", "old-ABCUSDT-trades-2024-01-01.zip"}
+    assert LD.read_landing(spark, land).count() == 5
+    assert LD.read_landing(spark, land, []).count() == 0
+
+
+def test_symbols_are_kept_apart(spark, tmpdir_run):
+    from tradewatch.plans.daily_run import Layout, RunConfig, ingest
+
+    land = _small_landing(spark, tmpdir_run, ("ABCUSDT", "XYZUSDT"))
+    both = LD.read_landing(spark, land)
+    assert {(r.symbol, r["count"]) for r in both.groupBy("symbol").count().collect()} == {("ABCUSDT", 5), ("XYZUSDT", 5)}
+    assert LD.read_landing(spark, land, symbols=["XYZUSDT"]).count() == 5
+    layout, days = Layout(tmpdir_run), [date(2024, 1, 1)]
+    with pytest.raises(ValueError, match="ABCUSDT, XYZUSDT"):
+        ingest(spark, layout, days)
+    assert ingest(spark, layout, days, RunConfig(symbol="XYZUSDT"))["rows"] == 5
+
+
+def test_load_time_is_utc(spark, tmpdir_run):
+    from datetime import datetime, timezone
+
+    land, zone = _small_landing(spark, tmpdir_run), spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        at = LD.read_landing(spark, land).first()._ingested_at
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert abs((datetime.now(timezone.utc).replace(tzinfo=None) - at).total_seconds()) < 600
+
+
+def test_paths_and_schemes(spark):
+    assert LD.qualified(spark, "/tmp/x").startswith("file:")
+    assert LD._fs("file:///tmp/x")[1] == "/tmp/x" and LD._fs("file:/tmp/x")[1] == "/tmp/x"
+    with pytest.raises(ValueError, match="odd"):
+        LD._fs("odd://host/x")
+
+
+def test_no_days_write_nothing(spark, tmpdir_run):
+    root = os.path.join(tmpdir_run, "t")
+    df = spark.createDataFrame([(1, date(2024, 1, 1))], "id long, trade_date date")
+    assert LY.replace_days(df, root, "trade_date", []) == {"rows": 0, "days": []}
+    assert not os.path.exists(root)
+    LY.replace_days(df, root, "trade_date", None)
+    assert LY.read_days(spark, root, "trade_date").count() == 1
+    assert LY.read_days(spark, root, "trade_date", []).count() == 0
+    with pytest.raises(ValueError, match="days_cleared"):
+        LY.append_jdbc(df, "jdbc:none", "t", {})
 
 
 def test_replace_days_clears_days_without_rows(spark, tmpdir_run):

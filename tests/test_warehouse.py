@@ -77,3 +77,10 @@ def test_fact_trades_datetime_rounding(spark):
         "is_sell boolean, usd_value double, trade_hour int, processed_date date")
     assert WH.fact_trades(silver).first().trade_time == datetime(2026, 1, 1, 23, 59, 59, 600000)
     assert WH.fact_trades(silver, round_datetime=True).first().trade_time == datetime(2026, 1, 2)
+
+
+def test_keys_are_counted_over_all_days(spark):
+    rows = [(7, date(2026, 1, 1)), (7, date(2026, 1, 2)), (8, date(2026, 1, 2)), (8, date(2026, 1, 2)), (None, date(2026, 1, 1)), (None, date(2026, 1, 2))]
+    f = spark.createDataFrame(rows, "trade_id long, processed_date date")
+    got = {r.processed_date.day: (r.null_violations, r.duplicate_keys) for r in WH.contract_violations(f, "processed_date", "trade_id").collect()}
+    assert got == {1: (1, 0), 2: (1, 2)}

@@ -43,15 +43,16 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--to", dest="date_to")
     ap.add_argument("--time-unit-divisor", type=int, default=1, help="1: as coded (µs), 1000: as documented (ms)")
     ap.add_argument("--exact-wash", action="store_true", help="also pair trades across a second boundary")
+    ap.add_argument("--symbol", help="which symbol's archives to load, if the landing folder has several")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"tradewatch-{args.stage}").getOrCreate()
     ensure_checkpoint_dir(spark)
     layout, days = DR.Layout(args.root), _days(args)
-    cfg = DR.RunConfig(wash=WashConfig(time_unit_divisor=args.time_unit_divisor, exact=args.exact_wash))
+    cfg = DR.RunConfig(wash=WashConfig(time_unit_divisor=args.time_unit_divisor, exact=args.exact_wash), symbol=args.symbol)
     out: dict = {"stage": args.stage, "days": [str(d) for d in days]}
     if args.stage == "ingest":
-        DR.ingest(spark, layout, days)
+        DR.ingest(spark, layout, days, cfg)
     elif args.stage == "bronze-to-silver":
         out["dq"] = DR.bronze_to_silver(spark, layout, days, cfg)
     elif args.stage == "ohlcv":

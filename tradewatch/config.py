@@ -90,7 +90,3 @@ class WashConfig:
     # Value dimensions also cut into band cells: "auto" adds ``qty`` whenever
     # the time cells are a bucket or wider (documented unit, J1 and J1b).
     value_bands: tuple[str, ...] | str = "auto"
-    # Set only when the input is known to hold no NaN / infinite / non-positive
-    # price or quantity (the daily run takes it from its DQ aggregate): value
-    # cells then need no sentinel copies. Rows violating it would be dropped.
-    values_finite: bool = False

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tradewatch.config import CleanConfig
 from tradewatch.functions import epoch_us_to_ts
-from tradewatch.schemas import SILVER, project_to
+from tradewatch.schemas import SILVER, project_to, symbol_keys
 
 # Lineage columns carried from bronze to silver when present.
 LINEAGE = ["_source_file", "_ingested_at"]
@@ -40,7 +40,7 @@ def typed_trades(bronze: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFra
     for c in ("is_buyer_maker", "is_best_match"):
         out.append((F.col(c).try_cast("boolean") if c in cols else F.lit(None).cast("boolean")).alias(c))
     out.append(F.col(cfg.day_col).cast("date").alias("trade_date"))
-    out += [F.col(c) for c in LINEAGE if c in cols]
+    out += [F.col(c) for c in (*LINEAGE, *symbol_keys(bronze)) if c in cols]
     return bronze.select(*out)
 
 
@@ -68,15 +68,18 @@ def dedup_trades(
 
     An aggregate, not a window: duplicates collapse map-side before the
     shuffle, so a key repeated on a third of the rows costs one row per task.
+    The row kept is the least struct, so it is a sort aggregate. With a ``symbol``
+    column the key is one symbol's.
     The survivor does not depend on partitioning or file order. NULL keys
     form one group, as ``dropDuplicates`` does.
     """
-    rest = [c for c in df.columns if c not in (key, day)]
+    own = symbol_keys(df)
+    rest = [c for c in df.columns if c not in (key, day, *own)]
     ordered = [c for c in first if c in rest] + [c for c in rest if c not in first]
     return (
-        df.groupBy(day, key)
+        df.groupBy(*own, day, key)
         .agg(F.min(F.struct(*ordered)).alias("_row"), F.count(F.lit(1)).alias("copies"))
-        .select(day, key, *[F.col(f"_row.{c}").alias(c) for c in rest], "copies")
+        .select(*own, day, key, *[F.col(f"_row.{c}").alias(c) for c in rest], "copies")
     )
 
 
@@ -99,4 +102,4 @@ def clean_trades(bronze: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFra
     kept = dedup_trades(valid_trades(typed, cfg)).drop("copies")
     silver = enrich(kept)
     extra = [F.col(c) for c in LINEAGE if c in silver.columns]
-    return project_to(silver, SILVER, *extra)
+    return project_to(silver, SILVER, *extra, *symbol_keys(silver))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tradewatch.config import CleanConfig, DQConfig
 from tradewatch.operators.clean import step_flags
+from tradewatch.schemas import symbol_keys
 
 
 def _per_key(typed: DataFrame, cfg: CleanConfig) -> DataFrame:
@@ -24,7 +25,7 @@ def _per_key(typed: DataFrame, cfg: CleanConfig) -> DataFrame:
     price_bad = F.col("price").isNull() | (F.col("price") <= 0)
     qty_bad = F.col("qty").isNull() | (F.col("qty") <= 0)
     ts_bad = F.col("trade_time").isNull() | (F.to_date("trade_time") != F.col("trade_date"))
-    return typed.groupBy("trade_date", "trade_id").agg(
+    return typed.groupBy(*symbol_keys(typed), "trade_date", "trade_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(price_bad).alias("n_price_bad"),
         F.count_if(qty_bad).alias("n_qty_bad"),
@@ -33,18 +34,10 @@ def _per_key(typed: DataFrame, cfg: CleanConfig) -> DataFrame:
         F.count_if(price_ok & ~qty_ok).alias("n_rm_qty"),
         F.count_if(price_ok & qty_ok & ~date_ok).alias("n_rm_date"),
         F.count_if(price_ok & qty_ok & date_ok).alias("n_kept"),
-        F.count_if(price_ok & qty_ok & date_ok & _nonfinite()).alias("n_nonfinite"),
     )
 
 
-def _nonfinite():
-    inf = float("inf")
-    return F.coalesce(
-        F.isnan("price") | F.isnan("qty") | (F.abs("price") == inf) | (F.abs("qty") == inf), F.lit(False)
-    )
-
-
-def audit(typed: DataFrame, cfg: CleanConfig = CleanConfig(), dq: DQConfig = DQConfig()) -> DataFrame:
+def audit(typed: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
     """One row per day: DQ measures (Q1-Q5) and cleaning step counts."""
     per_day = _per_key(typed, cfg).groupBy("trade_date").agg(
         F.sum("n").alias("total_rows"),
@@ -57,8 +50,6 @@ def audit(typed: DataFrame, cfg: CleanConfig = CleanConfig(), dq: DQConfig = DQC
         F.sum("n_rm_date").alias("removed_date"),
         (F.sum("n_kept") - F.count_if(F.col("n_kept") > 0)).alias("removed_duplicates"),
         F.count_if(F.col("n_kept") > 0).alias("rows_out"),
-        # Kept rows with a NaN or infinite price or quantity (drives WashConfig.values_finite).
-        F.sum("n_nonfinite").alias("nonfinite_kept"),
     )
     return per_day
 
@@ -96,12 +87,11 @@ DQ_COLUMNS = [
 ]
 
 STEP_COLUMNS = ["trade_date", "total_rows", "removed_price", "removed_qty", "removed_date", "removed_duplicates", "rows_out"]
-RUN_COLUMNS = STEP_COLUMNS + ["nonfinite_kept"]
 
 
 def expected_days(report: DataFrame, days: list[date] | None) -> DataFrame:
     """Right-join the report to the expected days, so a day without rows reports 0."""
-    if not days:
+    if days is None:
         return report
     spark = report.sparkSession
     want = spark.createDataFrame([(d,) for d in days], "trade_date date")
@@ -119,8 +109,8 @@ def dq_report(
 ) -> DataFrame:
     """Q1-Q6 per day, before any filtering, with the pass/fail of each gate;
     ``with_steps`` adds the cleaning step counts of the same aggregate."""
-    rep = expected_days(audit(typed, cfg, dq), days)
-    cols = DQ_COLUMNS + ([c for c in RUN_COLUMNS if c not in DQ_COLUMNS] if with_steps else [])
+    rep = expected_days(audit(typed, cfg), days)
+    cols = DQ_COLUMNS + ([c for c in STEP_COLUMNS if c not in DQ_COLUMNS] if with_steps else [])
     return _with_gates(rep, dq).select(*cols)
 
 
@@ -154,3 +144,14 @@ def enforce(report: DataFrame, dq: DQConfig = DQConfig()) -> list[dict]:
     if bad:
         raise DataQualityError("; ".join(bad))
     return rows
+
+
+def warnings_of(rows: list[dict], dq: DQConfig = DQConfig()) -> list[str]:
+    """What a run reports without stopping: days with few rows (Q1) and repeated trade ids (Q5)."""
+    out = []
+    for r in rows:
+        if not r["row_count_ok"]:
+            out.append(f"{r['trade_date']}: {r['total_rows']} rows, fewer than {dq.min_rows}")
+        if r["duplicate_trade_ids"]:
+            out.append(f"{r['trade_date']}: {r['duplicate_trade_ids']} rows repeat a trade id")
+    return out

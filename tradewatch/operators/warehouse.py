@@ -97,7 +97,9 @@ def dim_time_window(days: DataFrame, day_col: str = "trade_date", minutes: int =
 
 
 def _contract(df: DataFrame, contract) -> DataFrame:
-    cols: list[Column] = [F.col(c).cast(t).alias(c) if t is not None else F.col(c) for c, t in contract]
+    """The contract's columns; a value that its decimal type cannot hold (too large, NaN) becomes NULL,
+    which :func:`contract_violations` counts."""
+    cols: list[Column] = [F.col(c).try_cast(t).alias(c) if t is not None else F.col(c) for c, t in contract]
     return df.select(*cols)
 
 
@@ -122,37 +124,68 @@ def fact_wash_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def contract_violations(fact: DataFrame, day_col: str, key: str | None = None) -> DataFrame:
-    """Per day: rows, rows with a NULL in any column (NOT NULL contract), bad
-    severities, and duplicate keys; a load should only proceed on zeros."""
+    """Per day: rows, rows with a NULL in any column (NOT NULL contract), bad severities, and
+    ``duplicate_keys``, the surplus rows of keys found more than once on any days, counted on
+    the last of them (NULL keys are NULL violations only). ``nulls`` maps a column to its NULLs.
+    """
     any_null = F.lit(False)
     for c in fact.columns:
         any_null = any_null | F.col(c).isNull()
-    aggs = [F.count(F.lit(1)).alias("rows"), F.count_if(any_null).alias("null_violations")]
+    counts = F.create_map(*[x for c in fact.columns for x in (F.lit(c), F.count_if(F.col(c).isNull()))])
+    aggs = [F.count(F.lit(1)).alias("rows"), F.count_if(any_null).alias("null_violations"), counts.alias("nulls")]
     if "severity" in fact.columns:
         aggs.append(F.count_if(~F.col("severity").isin(*SEVERITIES)).alias("enum_violations"))
     per_day = fact.groupBy(day_col).agg(*aggs)
     if key is None:
         return per_day
-    dups = (
-        fact.groupBy(day_col, key).agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(day_col).agg((F.sum("n") - F.count(F.lit(1))).alias("duplicate_keys"))
-    )
-    return per_day.join(dups, day_col, "left")
+    per_key = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max(day_col).alias("__day"))
+    surplus = per_key.groupBy("__day").agg(F.sum(F.col("n") - 1).alias("duplicate_keys"))
+    same_day = per_day[day_col].eqNullSafe(surplus["__day"])
+    return per_day.join(surplus, same_day, "left").drop("__day").fillna(0, ["duplicate_keys"])
+
+
+def loaded_keys(fact: DataFrame, loaded: DataFrame, day_col: str, key: str) -> DataFrame:
+    """Per day of ``fact``: rows whose key ``loaded`` (the other days of the table) already has.
+
+    Only loaded keys within the range of the new ones are read: trade ids rise with time, so the
+    Parquet statistics leave out nearly all of the history.
+    """
+    lo, hi = fact.agg(F.min(key), F.max(key)).first()
+    known = loaded.where(F.col(key).between(lo, hi)).select(key)
+    return fact.join(known, key, "left_semi").groupBy(day_col).agg(F.count(F.lit(1)).alias("loaded_keys"))
+
+
+class ContractError(ValueError):
+    pass
+
+
+def enforce_contract(name: str, fact: DataFrame, day_col: str, key: str | None = None, loaded: DataFrame | None = None) -> None:
+    """Raises a :class:`ContractError` that names table, day, column and count of every violation (one row per day)."""
+    bad = []
+    for r in contract_violations(fact, day_col, key).orderBy(day_col).collect():
+        day = r[day_col]
+        bad += [f"{name} {day}: {n} rows without a valid {c}" for c, n in sorted(r["nulls"].items()) if n]
+        for what in ("enum_violations", "duplicate_keys"):
+            if what in r and r[what]:
+                bad.append(f"{name} {day}: {r[what]} {what.replace('_', ' ')}")
+    if loaded is not None and key is not None:
+        bad += [f"{name} {r[day_col]}: {r.loaded_keys} keys are loaded already" for r in loaded_keys(fact, loaded, day_col, key).collect()]
+    if bad:
+        raise ContractError("; ".join(bad))
 
 
 def orphan_dates(fact: DataFrame, dim: DataFrame, day_col: str = "processed_date") -> DataFrame:
     """Per day, fact rows and those whose date_id has no dim_date row.
 
-    Only the distinct ``date_id`` values of ``dim`` are broadcast: YYYYMMDD
-    integers, one per calendar day, so fewer than 3.7 million values even for
-    years 1-9999 (a few thousand for a decade). The bound comes from the
-    calendar, not from the data, while the fact side is never shuffled.
+    The fact is counted per (day, date_id) first, so the join sees a row per
+    calendar day and Spark picks its form by the measured sizes.
     """
-    ids = F.broadcast(dim.select("date_id").distinct().withColumn("_in_dim", F.lit(True)))
-    joined = fact.join(ids, "date_id", "left")
+    per_id = fact.groupBy(day_col, "date_id").agg(F.count(F.lit(1)).alias("n"))
+    ids = dim.select("date_id").distinct().withColumn("_in_dim", F.lit(True))
+    joined = per_id.join(ids, "date_id", "left")
     return joined.groupBy(day_col).agg(
-        F.count(F.lit(1)).alias("fact_rows"),
-        F.count_if(F.col("_in_dim").isNull()).alias("orphan_rows"),
+        F.sum("n").alias("fact_rows"),
+        F.sum(F.when(F.col("_in_dim").isNull(), F.col("n")).otherwise(0)).alias("orphan_rows"),
     )
 
 

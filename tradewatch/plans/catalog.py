@@ -24,7 +24,9 @@ from tradewatch.operators import wash as W
 from tradewatch.sources import fixtures as FX
 from tradewatch.sources import landing as LD
 from tradewatch.sources import layers as LY
-from tradewatch.functions import epoch_us_to_ts, to_epoch_us
+from tradewatch.functions import date_id, epoch_us_to_ts, to_epoch_us
+from tradewatch.plans import daily_run as DR
+from tradewatch.schemas import PUMP_DUMP
 from tradewatch.session import scratch_path
 
 R = 6
@@ -188,7 +190,16 @@ def q_fact_trades(spark, sf_dir):
 
 
 def q_fact_trades_contract(spark, sf_dir):
-    return WH.contract_violations(WH.fact_trades(_silver(spark, sf_dir)), "processed_date", key="trade_id")
+    silver = _silver(spark, sf_dir)
+    # Ids that come again a day later and prices too large for the warehouse's decimals.
+    again = silver.where(F.col("trade_id") % 90 == 11).withColumn("processed_date", F.date_add("processed_date", 1))
+    large = F.when(F.col("trade_id") % 700 == 5, F.lit(1e11)).otherwise(F.col("price"))
+    bad = silver.withColumn("price", large).unionByName(again)
+    v = WH.contract_violations(WH.fact_trades(bad), "processed_date", key="trade_id")
+    return v.select(
+        "processed_date", "rows", "null_violations", F.col("nulls")["is_sell"].alias("null_sides"),
+        F.col("nulls")["price"].alias("null_prices"), "duplicate_keys",
+    )
 
 
 def q_fact_pump_dump(spark, sf_dir):
@@ -201,7 +212,8 @@ def q_fact_wash_pairs(spark, sf_dir):
 
 def q_orphan_dates(spark, sf_dir):
     dim = WH.dim_date_span(FX.trades_sparse(_events(spark, sf_dir)), "trade_date")
-    return WH.orphan_dates(WH.fact_trades(_silver(spark, sf_dir)), dim)
+    # A calendar with holes.
+    return WH.orphan_dates(WH.fact_trades(_silver(spark, sf_dir)), dim.where(F.col("day_of_month") % 5 != 0))
 
 
 def q_dw_counts(spark, sf_dir):
@@ -215,21 +227,24 @@ def q_dw_counts(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- landing and sinks
-def _landing(spark, sf_dir) -> str:
-    """Write the landing zips of ``trades_sparse`` to a fresh scratch folder."""
-    ev = _events(spark, sf_dir)
-    t = FX.trades_sparse(ev)
-    rows = t.select(
+def _landing_rows(spark, sf_dir) -> DataFrame:
+    return FX.trades_sparse(_events(spark, sf_dir)).select(
         "trade_id", "price", "qty", (F.col("price") * F.col("qty")).alias("quote_qty"),
         to_epoch_us("trade_time").alias("time"), "is_buyer_maker", F.lit(True).alias("is_best_match"), "trade_date",
     )
+
+
+def _landing(spark, sf_dir, days=None) -> str:
+    """Write the landing zips of ``trades_sparse`` to a fresh scratch folder, of the ``days`` that a condition names."""
+    rows = _landing_rows(spark, sf_dir)
+    rows = rows if days is None else rows.where(days)
     landing = scratch_path(spark, "landing")
     LD.write_landing(rows, landing, scratch_path(spark, "landing-staging"))
     return landing
 
 
 def q_missing_days(spark, sf_dir):
-    landing = _landing(spark, sf_dir)
+    landing = _landing(spark, sf_dir, F.dayofmonth("trade_date") % 7 != 3)
     days = WH.dim_date_span(FX.trades_sparse(_events(spark, sf_dir)), "trade_date").select(F.col("full_date").alias("trade_date"))
     return LD.landing_inventory(spark, landing, days).select("trade_date", "found")
 
@@ -237,7 +252,12 @@ def q_missing_days(spark, sf_dir):
 def q_zip_ingest(spark, sf_dir):
     bronze = LD.read_landing(spark, _landing(spark, sf_dir))
     typed = CL.typed_trades(bronze)
-    return typed.select("trade_id", "price", "qty", "quote_qty", "time", "is_buyer_maker", "is_best_match", "trade_time", "_source_file", "trade_date")
+    # Stamped in UTC, whatever the session's zone.
+    age = F.timestamp_diff("SECOND", F.col("_ingested_at"), F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp()))
+    return typed.select(
+        "trade_id", "price", "qty", "quote_qty", "time", "is_buyer_maker", "is_best_match", "trade_time", "_source_file",
+        "symbol", "trade_date", (F.abs(age) < 3600).alias("stamped"),
+    )
 
 
 def q_day_overwrite(spark, sf_dir):
@@ -252,6 +272,92 @@ def q_day_overwrite(spark, sf_dir):
     return back.groupBy("trade_date").agg(F.count(F.lit(1)).alias("candles"))
 
 
+# ---------------------------------------------------------------- calendar, reads by day, the load
+def q_dim_date_seed(spark, sf_dir):
+    """400 calendar days from the first trade's day, none after the year."""
+    first = FX.trades_sparse(_events(spark, sf_dir)).agg(F.min("trade_date")).first()[0]  # one value
+    return WH.dim_date(spark, first, WH.SEED_DAYS, first.replace(month=12, day=31))
+
+
+def q_day_reads(spark, sf_dir):
+    """Every second day of a written layer, by partition pruning."""
+    t = FX.trades_sparse(_events(spark, sf_dir))
+    root = scratch_path(spark, "silver-days")
+    LY.replace_days(t, root, "trade_date", None)
+    days = [r.trade_date for r in t.select("trade_date").distinct().collect() if r.trade_date.day % 2 == 0]  # calendar days
+    return LY.read_days(spark, root, "trade_date", days).groupBy("trade_date").agg(
+        F.count(F.lit(1)).alias("trades"), F.sum("trade_id").alias("ids")
+    )
+
+
+def q_empty_day(spark, sf_dir):
+    """A pump table whose every day found nothing is read with its schema: no rows on any day."""
+    t = FX.trades_sparse(_events(spark, sf_dir))
+    days = [r.trade_date for r in t.select("trade_date").distinct().collect()]  # calendar days
+    root = scratch_path(spark, "gold-pump")
+    LY.replace_days(P.pump_dump(_candles(spark, sf_dir)), root, "trade_date", days)
+    LY.replace_days(P.pump_dump(_candles(spark, sf_dir)).where(F.lit(False)), root, "trade_date", days)
+    left = LY.read_days(spark, root, "trade_date", days, schema=PUMP_DUMP)
+    per_day = t.select("trade_date").distinct().join(left.groupBy("trade_date").agg(F.count(F.lit(1)).alias("rows")), "trade_date", "left")
+    return per_day.fillna(0, ["rows"])
+
+
+def q_warehouse_load(spark, sf_dir):
+    """The whole run from landing archives to the star schema, read back through its calendar."""
+    base = scratch_path(spark, "warehouse-load")
+    layout = DR.Layout(base)
+    rows = _landing_rows(spark, sf_dir)
+    LD.write_landing(rows, layout.landing, base + "/staging")
+    days = [r.trade_date for r in rows.select("trade_date").distinct().collect()]  # calendar days
+    DR.run_days(spark, layout, days)
+    dim = spark.read.parquet(layout.dw("dim_date"))
+    trades = spark.read.parquet(layout.dw("fact_trades")).groupBy("date_id").agg(
+        F.count(F.lit(1)).alias("trades"), F.round(F.sum(F.col("usd_value").cast("double")), 4).alias("usd")
+    )
+    pumps = spark.read.parquet(layout.dw("fact_pump_dump_events")).groupBy(date_id("trade_date").alias("date_id")).agg(F.count(F.lit(1)).alias("pumps"))
+    return trades.join(dim.select("date_id", "day_of_week"), "date_id").join(pumps, "date_id", "left").fillna(0, ["pumps"])
+
+
+# ---------------------------------------------------------------- two symbols
+def _two_symbols(spark, sf_dir):
+    """Two symbols that share ids and days: the second at twice the price and half the quantity."""
+    one = FX.trades_sparse(_events(spark, sf_dir))
+    two = one.where(F.col("trade_id") % 3 != 0).withColumns({"price": F.col("price") * 2, "qty": F.col("qty") / 2})
+    return one.withColumn("symbol", F.lit("AAAUSDT")).unionByName(two.withColumn("symbol", F.lit("BBBUSDT")))
+
+
+def _both(df):
+    return df.withColumn("symbol", F.lit("AAAUSDT")).unionByName(df.withColumn("symbol", F.lit("BBBUSDT")))
+
+
+def q_symbols_dedup(spark, sf_dir):
+    t = _two_symbols(spark, sf_dir)
+    kept = CL.dedup_trades(t.unionByName(t.where(F.col("trade_id") % 7 == 0)), first=("trade_time",))
+    return kept.groupBy("symbol", "trade_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("trade_id").alias("ids"), F.round(F.sum("price"), 4).alias("price_sum")
+    )
+
+
+def q_symbols_candles(spark, sf_dir):
+    c = C.ohlcv(_two_symbols(spark, sf_dir))
+    return c.select(
+        "symbol", "window_start", "open", "close", "high", "low", F.round("volume_pepe", 6).alias("volume"),
+        F.col("trade_count").alias("trades"),
+    )
+
+
+def q_symbols_pump(spark, sf_dir):
+    """The same candles under two symbols: windows must not run from one into the other."""
+    events = P.pump_dump(_both(_candles(spark, sf_dir)))
+    return events.groupBy("symbol").agg(F.count(F.lit(1)).alias("events"), F.round(F.sum("pump_pct"), 6).alias("pump_sum"))
+
+
+def q_symbols_wash(spark, sf_dir):
+    """The same trades under two symbols: each symbol's own pairs and none across."""
+    pairs = W.wash_pairs(_both(_dense(spark, sf_dir)), WashConfig())
+    return pairs.select("symbol", "trade_date", "buy_trade_id", "sell_trade_id", F.round("wash_score", 6).alias("wash_score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_trades": q_clean_trades,
     "clean_step_counts": q_clean_step_counts,
@@ -285,4 +391,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_days": q_missing_days,
     "zip_ingest": q_zip_ingest,
     "day_overwrite": q_day_overwrite,
+    "dim_date_seed": q_dim_date_seed,
+    "day_reads": q_day_reads,
+    "empty_day": q_empty_day,
+    "warehouse_load": q_warehouse_load,
+    "symbols_dedup": q_symbols_dedup,
+    "symbols_candles": q_symbols_candles,
+    "symbols_pump": q_symbols_pump,
+    "symbols_wash": q_symbols_wash,
 }

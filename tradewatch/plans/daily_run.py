@@ -15,8 +15,8 @@ surveyed schedule ran them in parallel and raced, T5).
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, field, replace
-from datetime import date
+from dataclasses import dataclass, field
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +30,7 @@ from tradewatch.operators import warehouse as WH
 from tradewatch.operators import wash as W
 from pyspark.sql.types import DateType, StructField, StructType
 
-from tradewatch.schemas import BRONZE, OHLCV, PUMP_DUMP, SILVER_STORED, WASH_PAIRS
+from tradewatch.schemas import BRONZE, DIM_DATE, OHLCV, PUMP_DUMP, SILVER_STORED, WASH_PAIRS
 from tradewatch.sources import landing as LD
 from tradewatch.sources import layers as LY
 
@@ -77,24 +77,31 @@ class RunConfig:
     candles: CandleConfig = field(default_factory=CandleConfig)
     pump: PumpConfig = field(default_factory=PumpConfig)
     wash: WashConfig = field(default_factory=WashConfig)
+    # A layout's tables hold one symbol. None: the only one that has archives of the run's days.
+    symbol: str | None = None
 
 
 def _days_frame(spark: SparkSession, days: list[date]) -> DataFrame:
     return spark.createDataFrame([(d,) for d in days], "trade_date date")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _one_symbol(spark: SparkSession, layout: Layout, days: list[date], symbol: str | None) -> str | None:
+    """The run's symbol. Tables are keyed by trade id and day, so two symbols must not share a layout."""
+    if symbol is not None:
+        return symbol
+    files = LD.landing_files(spark, layout.landing).where(F.col("trade_date").isin(list(days)))
+    found = sorted(r.symbol for r in files.select("symbol").distinct().collect())  # file names only
+    if len(found) > 1:
+        raise ValueError(f"archives of several symbols in {layout.landing}: {', '.join(found)}; name one of them")
+    return found[0] if found else None
 
 
-def ingest(spark: SparkSession, layout: Layout, days: list[date]) -> dict:
+def ingest(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig = RunConfig()) -> dict:
     """Check the landing archives of ``days`` and load them into bronze."""
-    LD.require_landing(spark, layout.landing, _days_frame(spark, days))
-    # One archive per day is present now: spread the chunks when days are fewer than task slots.
-    spread = len(days) < max(1, spark.sparkContext.defaultParallelism)
-    bronze = LD.read_landing(spark, layout.landing, days, spread=spread)
+    symbol = _one_symbol(spark, layout, days, cfg.symbol)
+    symbols = [symbol] if symbol else None
+    LD.require_landing(spark, layout.landing, _days_frame(spark, days), symbols)
+    bronze = LD.read_landing(spark, layout.landing, days, symbols).drop("symbol")
     return LY.replace_days(bronze, layout.bronze, "trade_date", days)
 
 
@@ -121,43 +128,61 @@ def pump_stage(spark: SparkSession, layout: Layout, days: list[date], cfg: RunCo
     return LY.replace_days(P.pump_dump(written, cfg.pump), layout.pump, "trade_date", days)
 
 
-def wash_stage(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig, finite: bool = False) -> dict:
+def wash_stage(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig) -> dict:
     """C4: silver -> wash-trade pairs.
 
-    ``finite``: the DQ aggregate found no NaN or infinite price / quantity in
-    the kept rows, so the wash join may skip its sentinel copies.
+    A pair belongs to the day of its buy. Pairs that may cross midnight (``exact``) need the
+    neighbour days' trades as well; the write keeps the run's days only.
     """
-    silver = LY.read_days(spark, layout.silver, "processed_date", days, schema=SILVER_STORED)
+    near = {d + timedelta(days=k) for d in days for k in ((-1, 0, 1) if cfg.wash.exact else (0,))}
+    silver = LY.read_days(spark, layout.silver, "processed_date", sorted(near), schema=SILVER_STORED)
     trades = silver.withColumnRenamed("processed_date", "trade_date")
-    wash_cfg = replace(cfg.wash, values_finite=True) if finite else cfg.wash
-    return LY.replace_days(W.wash_pairs(trades, wash_cfg), layout.wash, "trade_date", days)
+    return LY.replace_days(W.wash_pairs(trades, cfg.wash), layout.wash, "trade_date", days)
 
 
-def gold(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig, finite: bool = False) -> dict:
+def gold(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig) -> dict:
     """Candles, then pump-and-dump on the written candles; wash pairs on silver.
 
     Returns the rows written per table (observed during the writes)."""
     return {
         "ohlcv_5min": candles_stage(spark, layout, days, cfg)["rows"],
         "pump_dump_signals": pump_stage(spark, layout, days, cfg)["rows"],
-        "wash_trade_signals": wash_stage(spark, layout, days, cfg, finite)["rows"],
+        "wash_trade_signals": wash_stage(spark, layout, days, cfg)["rows"],
     }
 
 
 def load_warehouse(spark: SparkSession, layout: Layout, days: list[date]) -> None:
-    """dim_date insert-if-absent, then the fact tables, each day replaced."""
-    new_dim = WH.dim_date_for(_days_frame(spark, days), "trade_date")
-    dim_path = layout.dw("dim_date")
-    if _exists(spark, dim_path):
-        new_dim = WH.dim_date_upsert(spark.read.parquet(dim_path), new_dim)
-    new_dim.write.mode("append").parquet(dim_path)
+    """dim_date insert-if-absent, then the fact tables, each day replaced.
 
-    silver = LY.read_days(spark, layout.silver, "processed_date", days, schema=SILVER_STORED)
-    LY.replace_days(WH.fact_trades(silver), layout.dw("fact_trades"), "processed_date", days)
-    pumps = LY.read_days(spark, layout.pump, "trade_date", days, schema=PUMP_DUMP)
-    LY.replace_days(WH.fact_pump_dump(pumps), layout.dw("fact_pump_dump_events"), "trade_date", days)
-    washes = LY.read_days(spark, layout.wash, "trade_date", days, schema=WASH_PAIRS)
-    LY.replace_days(WH.fact_wash_pairs(washes), layout.dw("fact_wash_trade_pairs"), "trade_date", days)
+    The first load seeds dim_date with its calendar (S11). Every table's contract (NOT NULL,
+    decimals, severity, key over all days, date in dim_date) is checked before any fact is written.
+    """
+    dim_path = layout.dw("dim_date")
+    wanted = WH.dim_date_for(_days_frame(spark, days), "trade_date")
+    if LY.has_files(spark, dim_path):
+        new_dim = WH.dim_date_upsert(spark.read.schema(DIM_DATE).parquet(dim_path), wanted)
+    else:
+        new_dim = WH.dim_date(spark).union(wanted).distinct()
+    if not new_dim.isEmpty():
+        new_dim.write.mode("append").parquet(dim_path)
+    dim = spark.read.schema(DIM_DATE).parquet(dim_path)
+
+    trades = WH.fact_trades(LY.read_days(spark, layout.silver, "processed_date", days, schema=SILVER_STORED))
+    pumps = WH.fact_pump_dump(LY.read_days(spark, layout.pump, "trade_date", days, schema=PUMP_DUMP))
+    washes = WH.fact_wash_pairs(LY.read_days(spark, layout.wash, "trade_date", days, schema=WASH_PAIRS))
+    loaded = None
+    if LY.has_files(spark, layout.dw("fact_trades")):
+        loaded = spark.read.parquet(layout.dw("fact_trades")).where(~F.col("processed_date").isin(list(days)))
+    WH.enforce_contract("fact_trades", trades, "processed_date", "trade_id", loaded)
+    WH.enforce_contract("fact_pump_dump_events", pumps, "trade_date")
+    WH.enforce_contract("fact_wash_trade_pairs", washes, "trade_date")
+    lost = [r for r in WH.orphan_dates(trades, dim).collect() if r.orphan_rows]  # one row per day
+    if lost:
+        raise WH.ContractError("; ".join(f"fact_trades {r.processed_date}: {r.orphan_rows} rows without a dim_date row" for r in lost))
+
+    LY.replace_days(trades, layout.dw("fact_trades"), "processed_date", days)
+    LY.replace_days(pumps, layout.dw("fact_pump_dump_events"), "trade_date", days)
+    LY.replace_days(washes, layout.dw("fact_wash_trade_pairs"), "trade_date", days)
 
 
 def validate(spark: SparkSession, layout: Layout, days: list[date]) -> list[dict]:
@@ -175,17 +200,24 @@ def validate(spark: SparkSession, layout: Layout, days: list[date]) -> list[dict
 
 
 def run_days(spark: SparkSession, layout: Layout, days: list[date], cfg: RunConfig = RunConfig(), from_landing: bool = True) -> dict:
-    """C0-C6 for ``days``; returns the DQ report (with step counts), the rows
-    written per table and the per-day warehouse counts."""
+    """C0-C6 for ``days``; returns the DQ report (with step counts) and its warnings, the rows
+    written per table, the pairs of high confidence per day (F9) and the per-day warehouse counts."""
     days = sorted(set(days))
     written = {}
     if from_landing:
-        written["bronze"] = ingest(spark, layout, days)["rows"]
+        written["bronze"] = ingest(spark, layout, days, cfg)["rows"]
     dq_rows = bronze_to_silver(spark, layout, days, cfg)
-    finite = all(not r.get("nonfinite_kept") for r in dq_rows)
-    written.update(gold(spark, layout, days, cfg, finite=finite))
+    written.update(gold(spark, layout, days, cfg))
     load_warehouse(spark, layout, days)
-    return {"dq": dq_rows, "written": written, "counts": validate(spark, layout, days)}
+    washes = LY.read_days(spark, layout.wash, "trade_date", days, schema=WASH_PAIRS)
+    tiers = {r.trade_date: r.high_confidence_pairs for r in W.wash_tiers(washes, cfg.wash).collect()}  # one row per day
+    return {
+        "dq": dq_rows,
+        "warnings": DQ.warnings_of(dq_rows, cfg.dq),
+        "written": written,
+        "high_confidence_pairs": {str(d): tiers.get(d, 0) for d in days},
+        "counts": validate(spark, layout, days),
+    }
 
 
 def write_bronze(trades: DataFrame, layout: Layout, days: list[date]) -> None:

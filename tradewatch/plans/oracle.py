@@ -14,9 +14,9 @@ FROM events"""
 
 DENSE = """
 SELECT event_id AS trade_id, 1.0::DOUBLE + value / 100000 AS price, 100.0::DOUBLE + user_id % 20 AS qty,
-       1704067200999400 + (event_id // 5) * 100000 + event_id % 5 * 300 AS time,
+       1704153589999400 + (event_id // 5) * 100000 + event_id % 5 * 300 AS time,
        user_id % 2 = 1 AS is_sell,
-       CAST(make_timestamp(1704067200999400 + (event_id // 5) * 100000 + event_id % 5 * 300) AS DATE) AS trade_date
+       CAST(make_timestamp(1704153589999400 + (event_id // 5) * 100000 + event_id % 5 * 300) AS DATE) AS trade_date
 FROM events"""
 
 DIRTY = """
@@ -88,7 +88,7 @@ SELECT * FROM e WHERE dump_pct <= -7"""
 
 
 def _wash(divisor: int, exact: bool, min_score: float | None) -> str:
-    same = "" if exact else "AND b.time // 1000000 = s.time // 1000000"
+    same = "true" if exact else "b.time // 1000000 = s.time // 1000000"
     band = 1000 * divisor
     score = "" if min_score is None else f"WHERE wash_score >= {min_score}"
     return f"""
@@ -97,7 +97,7 @@ p AS (SELECT b.trade_date, b.trade_id AS buy_trade_id, s.trade_id AS sell_trade_
              abs(b.time - s.time) / {divisor} AS td,
              abs(b.price - s.price) / b.price * 100 AS price_diff_pct,
              (1 - abs(b.qty - s.qty) / b.qty) * 100 AS qty_similarity_pct
-      FROM t b JOIN t s ON b.trade_date = s.trade_date {same}
+      FROM t b JOIN t s ON {same}
                        AND s.time > b.time - {band} AND s.time < b.time + {band}
       WHERE NOT b.is_sell AND s.is_sell),
 c AS (SELECT *, (1 - td / 1000) * 0.4 + (1 - price_diff_pct / 0.1) * 0.35 + (qty_similarity_pct / 100) * 0.25 AS wash_score
@@ -135,6 +135,19 @@ FROM ({SILVER}) s"""
 
 WASH_J1 = _wash(1, False, 0.8)
 
+# Silver with contract violations: ids that come again a day later, prices too large for the warehouse.
+VIOLATED = f"""
+SELECT trade_id, CASE WHEN trade_id % 700 = 5 THEN NULL ELSE price END AS price, is_buyer_maker, is_sell, processed_date FROM ({SILVER}) s
+UNION ALL
+SELECT trade_id, price, is_buyer_maker, is_sell, processed_date + 1 FROM ({SILVER}) s WHERE trade_id % 90 = 11"""
+
+# Trades of two symbols that share ids and days: the second at twice the price and half the quantity.
+TWO_SYMBOLS = f"""
+SELECT *, 'AAAUSDT' AS symbol FROM ({SPARSE}) a
+UNION ALL
+SELECT trade_id, price * 2, qty / 2, trade_time, is_buyer_maker, is_sell, usd_value, trade_date, 'BBBUSDT'
+FROM ({SPARSE}) b WHERE trade_id % 3 <> 0"""
+
 
 def _count(expr: str) -> str:
     return f"CAST({expr} AS BIGINT)"
@@ -228,11 +241,14 @@ SELECT CAST((year(d) * 10000 + month(d) * 100 + day(d)) AS BIGINT) * 1000 + slot
 FROM s""",
     "fact_trades": FACT_TRADES,
     "fact_trades_contract": f"""
-SELECT processed_date, count(*) AS rows,
-       CAST(count_if(trade_id IS NULL OR date_id IS NULL OR price IS NULL OR qty IS NULL OR quote_qty IS NULL OR trade_time IS NULL
-                OR is_buyer_maker IS NULL OR is_sell IS NULL OR usd_value IS NULL OR trade_hour IS NULL OR processed_date IS NULL) AS BIGINT) AS null_violations,
-       {_count('count(*) - count(DISTINCT trade_id) - (CASE WHEN count_if(trade_id IS NULL) > 0 THEN 1 ELSE 0 END)')} AS duplicate_keys
-FROM ({FACT_TRADES}) f GROUP BY processed_date""",
+WITH v AS ({VIOLATED}),
+d AS (SELECT processed_date, sum(n - 1) AS duplicate_keys
+      FROM (SELECT max(processed_date) AS processed_date, count(*) AS n FROM v WHERE trade_id IS NOT NULL GROUP BY trade_id) GROUP BY 1),
+c AS (SELECT processed_date, count(*) AS rows, count_if(is_sell IS NULL OR is_buyer_maker IS NULL OR price IS NULL) AS null_violations,
+             count_if(is_sell IS NULL) AS null_sides, count_if(price IS NULL) AS null_prices FROM v GROUP BY 1)
+SELECT processed_date, rows, CAST(null_violations AS BIGINT) AS null_violations, CAST(null_sides AS BIGINT) AS null_sides,
+       CAST(null_prices AS BIGINT) AS null_prices, CAST(coalesce(duplicate_keys, 0) AS BIGINT) AS duplicate_keys
+FROM c LEFT JOIN d USING (processed_date)""",
     "fact_pump_dump": f"""
 SELECT trade_date, pump_window_start, pump_window_end,
        CAST(CAST(price_at_pump_start AS DECIMAL(20,10)) AS DOUBLE) AS price_at_pump_start,
@@ -253,7 +269,8 @@ FROM ({WASH_J1}) w""",
     "orphan_dates": f"""
 {DIM_SPAN}
 SELECT f.processed_date, count(*) AS fact_rows, CAST(count_if(d.full_date IS NULL) AS BIGINT) AS orphan_rows
-FROM ({FACT_TRADES}) f LEFT JOIN d ON f.date_id = CAST(year(d.full_date) * 10000 + month(d.full_date) * 100 + day(d.full_date) AS INTEGER)
+FROM ({FACT_TRADES}) f LEFT JOIN (SELECT * FROM d WHERE day(full_date) % 5 <> 0) d
+     ON f.date_id = CAST(year(d.full_date) * 10000 + month(d.full_date) * 100 + day(d.full_date) AS INTEGER)
 GROUP BY f.processed_date""",
     "dw_counts": f"""
 {DIM_SPAN},
@@ -264,11 +281,42 @@ SELECT d.full_date AS trade_date, coalesce(t.n, 0) AS fact_trades, coalesce(p.n,
        coalesce(w.n, 0) AS fact_wash_trade_pairs, coalesce(t.n, 0) > 0 AS ok
 FROM d LEFT JOIN t ON t.trade_date = d.full_date LEFT JOIN p ON p.trade_date = d.full_date
        LEFT JOIN w ON w.trade_date = d.full_date""",
-    "missing_days": f"{DIM_SPAN} SELECT full_date AS trade_date, full_date IN (SELECT DISTINCT trade_date FROM ({SPARSE}) t) AS found FROM d",
+    "missing_days": f"{DIM_SPAN} SELECT full_date AS trade_date, full_date IN (SELECT trade_date FROM ({SPARSE}) t WHERE day(trade_date) % 7 <> 3) AS found FROM d",
     "zip_ingest": f"""
 SELECT trade_id, price, qty, price * qty AS quote_qty, epoch_us(trade_time) AS time, is_buyer_maker, true AS is_best_match,
-       trade_time, 'ABCUSDT-trades-' || strftime(trade_date, '%Y-%m-%d') || '.zip' AS _source_file, trade_date
+       trade_time, 'ABCUSDT-trades-' || strftime(trade_date, '%Y-%m-%d') || '.zip' AS _source_file, 'ABCUSDT' AS symbol, trade_date,
+       true AS stamped
 FROM ({SPARSE}) t""",
+    "dim_date_seed": f"""
+WITH s AS (SELECT min(trade_date) AS lo FROM ({SPARSE}) t),
+d AS (SELECT CAST(g AS DATE) AS full_date FROM s, generate_series(s.lo::TIMESTAMP, s.lo::TIMESTAMP + INTERVAL 399 DAY, INTERVAL 1 DAY) AS gs(g)
+      WHERE CAST(g AS DATE) <= DATE '2024-12-31')
+SELECT {DIM_COLS} FROM d""",
+    "day_reads": f"""
+SELECT trade_date, count(*) AS trades, CAST(sum(trade_id) AS BIGINT) AS ids FROM ({SPARSE}) t
+WHERE day(trade_date) % 2 = 0 GROUP BY trade_date""",
+    "empty_day": f"SELECT DISTINCT trade_date, CAST(0 AS BIGINT) AS rows FROM ({SPARSE}) t",
+    "warehouse_load": f"""
+WITH t AS (SELECT trade_date, count(*) AS n, sum(CAST(CAST(usd_value AS DECIMAL(20,8)) AS DOUBLE)) AS usd FROM ({SPARSE}) s GROUP BY 1),
+p AS (SELECT trade_date, count(*) AS n FROM ({EVENTS}) e GROUP BY 1)
+SELECT CAST(year(t.trade_date) * 10000 + month(t.trade_date) * 100 + day(t.trade_date) AS INTEGER) AS date_id,
+       CAST(isodow(t.trade_date) - 1 AS INTEGER) AS day_of_week, t.n AS trades, round(t.usd, 4) AS usd, coalesce(p.n, 0) AS pumps
+FROM t LEFT JOIN p USING (trade_date)""",
+    "symbols_dedup": f"""
+SELECT symbol, trade_date, count(*) AS rows, CAST(sum(trade_id) AS BIGINT) AS ids, round(sum(price), 4) AS price_sum
+FROM ({TWO_SYMBOLS}) t GROUP BY symbol, trade_date""",
+    "symbols_candles": f"""
+SELECT symbol, make_timestamp((epoch_us(trade_time) // 300000000) * 300000000) AS window_start,
+       first(price ORDER BY trade_time, trade_id) AS open, last(price ORDER BY trade_time, trade_id) AS close, max(price) AS high,
+       min(price) AS low, round(sum(qty), 6) AS volume, count(*) AS trades
+FROM ({TWO_SYMBOLS}) t GROUP BY ALL""",
+    "symbols_pump": f"""
+SELECT 'AAAUSDT' AS symbol, count(*) AS events, round(sum(pump_pct), 6) AS pump_sum FROM ({EVENTS}) e
+UNION ALL
+SELECT 'BBBUSDT', count(*), round(sum(pump_pct), 6) FROM ({EVENTS}) e""",
+    "symbols_wash": f"""
+SELECT s.symbol, w.trade_date, w.buy_trade_id, w.sell_trade_id, round(w.wash_score, 6) AS wash_score
+FROM ({WASH_J1}) w, (VALUES ('AAAUSDT'), ('BBBUSDT')) s(symbol)""",
     "day_overwrite": f"""
 WITH c AS ({CANDLES}),
 n AS (SELECT trade_date, count(*) AS candles FROM c GROUP BY trade_date),

@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from tradewatch.plans.daily_run import Layout
 from tradewatch.schemas import BRONZE, OHLCV, PUMP_DUMP, SILVER_STORED, WASH_PAIRS
+from tradewatch.sources.layers import has_files
 
 
 def register_views(spark: SparkSession, layout: Layout) -> list[str]:
@@ -30,17 +31,11 @@ def register_views(spark: SparkSession, layout: Layout) -> list[str]:
         "fact_pump_dump_events": (layout.dw("fact_pump_dump_events"), None),
         "fact_wash_trade_pairs": (layout.dw("fact_wash_trade_pairs"), None),
     }
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     made = []
     for name, (path, schema) in tables.items():
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        if not p.getFileSystem(conf).exists(p):
+        if not has_files(spark, path):
             continue
         reader = spark.read.schema(schema) if schema is not None else spark.read
-        try:
-            reader.parquet(path).createOrReplaceTempView(name)
-        except Exception:  # a table without any file yet (every day emptied)
-            continue
+        reader.parquet(path).createOrReplaceTempView(name)
         made.append(name)
     return made

@@ -63,9 +63,6 @@ SILVER_STORED = StructType(
 # The gold candle table's column names, as its consumers read them.
 OHLCV = StructType(
     [
-        StructField("trade_date", DateType(), True),
-        StructField("window_start", TimestampNTZType(), True),
-        StructField("window_end", TimestampNTZType(), True),
         StructField("open", DoubleType(), True),
         StructField("high", DoubleType(), True),
         StructField("low", DoubleType(), True),
@@ -75,7 +72,10 @@ OHLCV = StructType(
         StructField("trade_count", LongType(), False),
         StructField("buyer_initiated_count", LongType(), False),
         StructField("seller_initiated_count", LongType(), False),
+        StructField("window_start", TimestampNTZType(), True),
+        StructField("window_end", TimestampNTZType(), True),
         StructField("buy_sell_ratio", DoubleType(), True),
+        StructField("trade_date", DateType(), True),
     ]
 )
 
@@ -181,3 +181,8 @@ def project_to(df: DataFrame, schema: StructType, *extra: Column) -> DataFrame:
     """Select ``schema``'s columns in its order, cast to its types, then ``extra``."""
     cols: list[Column] = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
     return df.select(*cols, *extra)
+
+
+def symbol_keys(df: DataFrame) -> list[str]:
+    """``["symbol"]`` if ``df`` carries a symbol, which then belongs to every key; else no key."""
+    return ["symbol"] if "symbol" in df.columns else []

@@ -13,7 +13,7 @@ from tradewatch.functions import to_epoch_us
 
 # Start of the dense clock (2024-01-01 00:00:00.9994 in epoch µs),
 # clump size 5, clump spacing 100 ms, spacing inside a clump 300 µs.
-DENSE_T0_US = 1704067200999400
+DENSE_T0_US = 1704153589999400
 DENSE_CLUMP = 5
 DENSE_CLUMP_GAP_US = 100_000
 DENSE_STEP_US = 300

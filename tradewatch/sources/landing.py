@@ -6,9 +6,9 @@
 * :func:`read_landing` turns archives into bronze rows (S2-S4): one task per
   archive decompresses the first ``*.csv`` member into line-aligned text
   chunks (``mapInPandas``, bounded memory), and Spark's CSV parser
-  (``from_csv``) splits the lines, after dealing the chunks over the cluster
-  when there are fewer archives than task slots. A zip member is one
-  sequential deflate stream, so decompression is the only per-archive step.
+  (``from_csv``) splits the lines after AQE has dealt the chunks out by size.
+  A zip member is one sequential deflate stream, so decompression is the only
+  per-archive step.
 * :func:`read_landing_csv` reads already-extracted CSV files (S3).
 * :func:`write_landing` produces archives from trade rows (used to build test
   landings from the given tables): Spark writes the day's CSV parts in
@@ -18,7 +18,6 @@
 from __future__ import annotations
 
 import os
-import re
 import sys
 import uuid
 import zipfile
@@ -26,7 +25,7 @@ from collections.abc import Iterator
 from datetime import date
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewatch.schemas import LANDING, LANDING_COLUMNS, LANDING_DDL
@@ -47,7 +46,7 @@ _ship_by_value()
 
 # Landing file name pattern ``<SYMBOL>-trades-<YYYY-MM-DD>.zip``.
 DEFAULT_SYMBOL = "ABCUSDT"
-NAME_RE = r"([A-Z0-9]+)-trades-(\d{4}-\d{2}-\d{2})\.zip$"
+NAME_RE = r"^([A-Z0-9]+)-trades-(\d{4}-\d{2}-\d{2})\.zip$"
 CHUNK_BYTES = 8 << 20
 
 
@@ -55,17 +54,30 @@ def landing_name(day: date | str, symbol: str = DEFAULT_SYMBOL) -> str:
     return f"{symbol}-trades-{day}.zip"
 
 
+# Hadoop schemes whose store pyarrow knows by another name.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with scheme and authority; without a scheme it belongs to Spark's default file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(p).toString()
+
+
 def _fs(path: str):
-    """(pyarrow file system, path inside it) for a local path or any supported URI."""
+    """(pyarrow file system, path inside it) of a qualified path."""
     from pyarrow import fs
 
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    if "://" not in path:
-        return fs.LocalFileSystem(), path
-    return fs.FileSystem.from_uri(path)
+    scheme, colon, rest = path.partition(":")
+    if not colon:
+        raise ValueError(f"{path}: a path with a scheme is expected")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    try:
+        return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}")
+    except Exception as e:
+        raise ValueError(f"{path}: archives in a store of scheme {scheme!r} cannot be opened") from e
 
 
 def _open(path: str):
@@ -74,32 +86,44 @@ def _open(path: str):
     return filesystem.open_input_file(inner)
 
 
-def landing_files(spark: SparkSession, landing_dir: str) -> DataFrame:
-    """Archives in ``landing_dir``: path, file name, size, symbol and day."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.zip")
-        .load(landing_dir)
-        .select("path", "length")
-    )
+def landing_day(name: Column) -> Column:
+    """Day in an archive's file name; NULL for any other name and for a day that does not exist."""
+    return F.regexp_extract(name, NAME_RE, 2).try_cast("date")
+
+
+def _archives(spark: SparkSession, landing_dir: str) -> DataFrame:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(landing_dir)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     return files.select(
         "path",
         name.alias("file_name"),
         F.col("length").alias("size_bytes"),
         F.regexp_extract(name, NAME_RE, 1).alias("symbol"),
-        F.to_date(F.regexp_extract(name, NAME_RE, 2)).alias("trade_date"),
-    ).where(F.col("trade_date").isNotNull())
+        landing_day(name).alias("trade_date"),
+    )
+
+
+def landing_files(spark: SparkSession, landing_dir: str, symbols: list[str] | None = None) -> DataFrame:
+    """Archives in ``landing_dir``: path, file name, size, symbol and day; of ``symbols`` only, if given."""
+    files = _archives(spark, landing_dir).where(F.col("trade_date").isNotNull())
+    return files if symbols is None else files.where(F.col("symbol").isin(list(symbols)) if symbols else F.lit(False))
+
 
+def ignored_files(spark: SparkSession, landing_dir: str) -> DataFrame:
+    """Zip files whose name is not that of a day's archive: path, file name and size."""
+    return _archives(spark, landing_dir).where(F.col("trade_date").isNull()).select("path", "file_name", "size_bytes")
 
-def landing_inventory(spark: SparkSession, landing_dir: str, days: DataFrame) -> DataFrame:
+
+def landing_inventory(
+    spark: SparkSession, landing_dir: str, days: DataFrame, symbols: list[str] | None = None
+) -> DataFrame:
     """S1 for many days: one row per expected day with ``found`` and ``size_bytes``.
 
     ``days`` has a ``trade_date`` column. Missing days are the rows with
     ``found = false``; a caller that needs the surveyed hard failure raises
     on them (:func:`require_landing`).
     """
-    found = landing_files(spark, landing_dir).groupBy("trade_date").agg(
+    found = landing_files(spark, landing_dir, symbols).groupBy("trade_date").agg(
         F.sum("size_bytes").alias("size_bytes"), F.count(F.lit(1)).alias("files")
     )
     return (
@@ -109,45 +133,57 @@ def landing_inventory(spark: SparkSession, landing_dir: str, days: DataFrame) ->
     )
 
 
-def missing_days(spark: SparkSession, landing_dir: str, days: DataFrame) -> DataFrame:
-    found = landing_files(spark, landing_dir).select("trade_date")
+def missing_days(spark: SparkSession, landing_dir: str, days: DataFrame, symbols: list[str] | None = None) -> DataFrame:
+    found = landing_files(spark, landing_dir, symbols).select("trade_date")
     return days.select("trade_date").distinct().join(found, "trade_date", "left_anti")
 
 
-def require_landing(spark: SparkSession, landing_dir: str, days: DataFrame) -> None:
+def require_landing(spark: SparkSession, landing_dir: str, days: DataFrame, symbols: list[str] | None = None) -> None:
     """Raise ``FileNotFoundError`` naming the missing days (collects only those days)."""
-    miss = sorted(str(r.trade_date) for r in missing_days(spark, landing_dir, days).collect())
+    miss = sorted(str(r.trade_date) for r in missing_days(spark, landing_dir, days, symbols).collect())
     if miss:
         raise FileNotFoundError(f"landing files missing for: {', '.join(miss)} in {landing_dir}")
 
 
-_CHUNKS = "text string, _source_file string, trade_date string, chunk long"
+_CHUNKS = "text string, _source_file string, symbol string, trade_date string"
+
+
+def _csv_member(archive: zipfile.ZipFile, path: str) -> zipfile.ZipInfo:
+    """The trades of an archive: its first entry that is a CSV file."""
+    for entry in archive.infolist():
+        if not entry.is_dir() and entry.filename.endswith(".csv"):
+            return entry
+    raise ValueError(f"{path}: the archive has no CSV entry")
+
+
+def _line_blocks(stream) -> Iterator[bytes]:
+    """Whole lines of a byte stream in blocks of about ``CHUNK_BYTES``."""
+    rest = b""
+    while block := stream.read(CHUNK_BYTES):
+        head, newline, tail = block.rpartition(b"\n")
+        if newline:
+            yield rest + head + newline
+            rest = tail
+        else:
+            rest += block
+    if rest:
+        yield rest
 
 
 def _unzip_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Decompress the first ``*.csv`` member of each archive into line-aligned
-    text chunks of about ``CHUNK_BYTES``; parsing happens in Spark."""
+    """Archives decompressed to line-aligned text chunks; parsing happens in Spark."""
     for batch in batches:
-        for path, file_name, day in zip(batch["path"], batch["file_name"], batch["trade_date"]):
-            with _open(path) as raw, zipfile.ZipFile(raw) as zf:
-                members = [n for n in zf.namelist() if n.endswith(".csv")]
-                if not members:
-                    raise ValueError(f"No CSV found inside {path}")
-                with zf.open(members[0]) as member:
-                    rest, n = b"", 0
-                    while block := member.read(CHUNK_BYTES):
-                        data = rest + block
-                        cut = data.rfind(b"\n") + 1
-                        if cut == 0:
-                            rest = data
-                            continue
-                        rest = data[cut:]
-                        yield pd.DataFrame({"text": [data[:cut].decode("utf-8")], "_source_file": [file_name],
-                                            "trade_date": [str(day)], "chunk": [n]})
-                        n += 1
-                    if rest:
-                        yield pd.DataFrame({"text": [rest.decode("utf-8")], "_source_file": [file_name],
-                                            "trade_date": [str(day)], "chunk": [n]})
+        for path, file_name, symbol, day in batch[["path", "file_name", "symbol", "trade_date"]].itertuples(index=False):
+            with _open(path) as raw, zipfile.ZipFile(raw) as archive, archive.open(_csv_member(archive, path)) as member:
+                for lines in _line_blocks(member):
+                    yield pd.DataFrame(
+                        {"text": [lines.decode("utf-8")], "_source_file": [file_name], "symbol": [symbol], "trade_date": [str(day)]}
+                    )
+
+
+def _utc_now() -> Column:
+    """The load time as a UTC timestamp without zone, whatever the session's zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
 
 
 def read_landing_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -168,49 +204,41 @@ def read_landing_csv(spark: SparkSession, path: str) -> DataFrame:
     return csv.select(
         *LANDING_COLUMNS,
         name.alias("_source_file"),
-        F.localtimestamp().alias("_ingested_at"),
-        F.when(day != "", F.to_date(day)).alias("trade_date"),
+        _utc_now().alias("_ingested_at"),
+        day.try_cast("date").alias("trade_date"),
     )
 
 
 def read_landing(
-    spark: SparkSession, landing_dir: str, days: list[date] | None = None, spread: bool | None = None
+    spark: SparkSession, landing_dir: str, days: list[date] | None = None, symbols: list[str] | None = None
 ) -> DataFrame:
-    """Bronze rows (all text) of the archives, with lineage columns.
-
-    A task per archive only decompresses (a zip member is one sequential
-    deflate stream); Spark's own CSV parser (``from_csv``) splits the
-    line-aligned chunks into the 7 columns, dropping surplus trailing fields
-    as the surveyed reader did. With fewer archives than task slots (one big
-    day, say), ``spread`` deals the chunks round-robin over the cluster before
-    parsing; with many archives the archives themselves give the parallelism
-    and no shuffle is added. ``None`` decides from the file listing.
-    ``_ingested_at`` is the load timestamp; ``trade_date`` comes from the file
-    name, as the surveyed loader took it from the run's date. Fields are not
-    quoted in exchange trade files, so a record never spans two lines.
+    """Bronze rows (all text) of the archives, with lineage columns and the symbol.
+
+    ``None`` means every day (every symbol), an empty list none. The file
+    listing is packed into tasks by archive size, as any Spark scan; a task
+    only decompresses (a zip member is one sequential deflate stream). The
+    line-aligned chunks are then dealt out by AQE in partitions of its advisory
+    size, whatever the number of archives, and Spark's own CSV parser
+    (``from_csv``) splits them into the 7 columns, dropping surplus trailing
+    fields as the surveyed reader did. ``_ingested_at`` is the load time in UTC;
+    ``trade_date`` and ``symbol`` come from the file name. Fields are not quoted
+    in exchange trade files, so a record never spans two lines.
     """
-    files = landing_files(spark, landing_dir)
-    if days:
-        files = files.where(F.col("trade_date").isin(list(days)))
-    slots = max(1, spark.sparkContext.defaultParallelism)
-    files = files.select("path", "file_name", F.col("trade_date").cast("string").alias("trade_date"))
-    if spread is None:
-        spread = files.count() < slots  # file metadata only
-    # One archive per task: spread the (small) file list over the cluster.
-    chunks = files.repartition(slots, "path").mapInPandas(_unzip_chunks, _CHUNKS)
-    if spread:
-        chunks = chunks.repartition(slots)
-    lines = chunks.select(F.explode(F.split("text", "\r?\n")).alias("line"), "_source_file", "trade_date")
+    files = landing_files(spark, landing_dir, symbols)
+    if days is not None:
+        files = files.where(F.col("trade_date").isin(list(days)) if days else F.lit(False))
+    files = files.select("path", "file_name", "symbol", F.col("trade_date").cast("string").alias("trade_date"))
+    chunks = files.mapInPandas(_unzip_chunks, _CHUNKS).hint("rebalance")
+    lines = chunks.select(F.explode(F.split("text", "\r?\n")).alias("line"), "_source_file", "symbol", "trade_date")
     parsed = lines.where(F.length("line") > 0).select(
-        F.from_csv("line", LANDING_DDL, {"mode": "PERMISSIVE"}).alias("r"),
-        "_source_file",
-        "trade_date",
+        F.from_csv("line", LANDING_DDL, {"mode": "PERMISSIVE"}).alias("r"), "_source_file", "symbol", "trade_date"
     )
     return parsed.select(
         *[F.col(f"r.{c}").alias(c) for c in LANDING_COLUMNS],
         "_source_file",
-        F.localtimestamp().alias("_ingested_at"),
+        _utc_now().alias("_ingested_at"),
         F.col("trade_date").cast("date").alias("trade_date"),
+        "symbol",
     )
 
 
@@ -251,6 +279,7 @@ def write_landing(trades: DataFrame, landing_dir: str, staging_dir: str, symbol:
     text.write.mode("overwrite").partitionBy("trade_date").option("header", False).csv(staging_dir)
     days = [r.trade_date for r in text.select("trade_date").distinct().collect()]  # one row per day
     spark = trades.sparkSession
+    staging_dir, landing_dir = qualified(spark, staging_dir), qualified(spark, landing_dir)
     jobs = spark.createDataFrame(
         [
             (f"{staging_dir}/trade_date={d}", f"{landing_dir}/{landing_name(d, symbol)}", f"{symbol}-trades-{d}.csv")
@@ -265,8 +294,3 @@ def write_landing(trades: DataFrame, landing_dir: str, staging_dir: str, symbol:
 def _run(jobs: DataFrame) -> DataFrame:
     rows = jobs.mapInPandas(_zip_day, "dst string, csv_bytes long").collect()  # one row per day
     return jobs.sparkSession.createDataFrame(rows, "dst string, csv_bytes long")
-
-
-def trade_date_of(path: str) -> str | None:
-    m = re.search(NAME_RE, path)
-    return m.group(2) if m else None

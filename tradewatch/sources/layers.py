@@ -23,34 +23,36 @@ from pyspark.sql.types import StructType
 def read_days(
     spark: SparkSession, root: str, day_col: str, days: list[date] | None = None, schema: StructType | None = None
 ) -> DataFrame:
-    """A layer's rows, restricted to ``days`` by partition pruning."""
+    """A layer's rows, restricted to ``days`` by partition pruning; ``None`` is every day, no days are none."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.parquet(root)
-    if days:
-        df = df.where(F.col(day_col).isin(list(days)))
-    return df
+    return df if days is None else df.where(_is_one_of(day_col, days))
+
+
+def _is_one_of(day_col: str, days: list[date]):
+    return F.col(day_col).isin(list(days)) if days else F.lit(False)
 
 
 def replace_days(
-    df: DataFrame, root: str, day_col: str, days: list[date], sort_within: list[str] | None = None
+    df: DataFrame, root: str, day_col: str, days: list[date] | None, sort_within: list[str] | None = None
 ) -> dict:
     """Make ``root`` hold exactly ``df``'s rows for each day in ``days``.
 
     Returns the rows and days written, observed during the write itself (A12).
 
+    ``None`` replaces whatever days ``df`` has; an empty list writes nothing.
     Days with rows: dynamic partition overwrite (other days untouched).
     Days without rows: their partition folder is deleted after the write.
     """
     spark = df.sparkSession
-    out = df.where(F.col(day_col).isin(list(days))) if days else df
-    if days is None or len(days) != 1:
-        # Several days: cluster rows by day for few files per day, but let AQE
-        # split a day much larger than the others (REBALANCE) and merge small
-        # ones, so a hot day never lands in a single task. A one-day write
-        # needs no extra shuffle: every task already holds only that day.
-        out = out.hint("rebalance", day_col)
+    if days is not None and not days:
+        return {"rows": 0, "days": []}
+    out = df if days is None else df.where(_is_one_of(day_col, days))
+    # Rows are clustered by day for few files per day, and AQE splits a day much
+    # larger than the others and merges small ones, so no day lands in one task.
+    out = out.hint("rebalance", day_col)
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
     # The days actually written, gathered during the write itself (no second pass).
@@ -62,7 +64,7 @@ def replace_days(
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(root)
     metrics = seen.get
     written = {"rows": int(metrics.get("rows") or 0), "days": sorted(metrics.get("days") or [])}
-    if not days:
+    if days is None:
         return written
     present = set(written["days"])
     for d in days:
@@ -79,11 +81,28 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p) and fs.delete(p, True))
 
 
-def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], batch_size: int = 5000) -> None:
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a table's folder holds a data file; a folder may lack one when every day was emptied."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return False
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        if files.next().getPath().getName().startswith("part-"):
+            return True
+    return False
+
+
+def append_jdbc(
+    df: DataFrame, url: str, table: str, properties: dict[str, str], batch_size: int = 5000, days_cleared: bool = False
+) -> None:
     """S9 towards a relational warehouse: append in batches of ``batch_size`` rows.
 
-    Spark's JDBC writer has no predicate delete, so clearing the run's days
-    before the append has to happen in the database; the partitioned Parquet
-    tables of :func:`replace_days` are the default, re-runnable target.
+    Spark's JDBC writer has no predicate delete, so the run's days have to be cleared in the
+    database first; the caller confirms it by ``days_cleared``, as appending a day twice doubles
+    it. The partitioned Parquet tables of :func:`replace_days` are the re-runnable target.
     """
+    if not days_cleared:
+        raise ValueError(f"clear the run's days in {table} first and pass days_cleared=True")
     df.write.option("batchsize", batch_size).jdbc(url, table, mode="append", properties=properties)

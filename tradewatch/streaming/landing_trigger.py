@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradewatch.plans.daily_run import Layout, RunConfig, run_days
-from tradewatch.sources.landing import NAME_RE
+from tradewatch.sources.landing import landing_day
 
 _BINARY = "path string, modificationTime timestamp, length long, content binary"
 
@@ -37,7 +37,7 @@ def landed_days(spark: SparkSession, landing_dir: str) -> DataFrame:
         .load(landing_dir)
         .select("path")
     )
-    return files.select("path", F.to_date(F.regexp_extract("path", NAME_RE, 2)).alias("trade_date"))
+    return files.select("path", landing_day(F.regexp_extract("path", r"([^/]+)$", 1)).alias("trade_date"))
 
 
 def start(
