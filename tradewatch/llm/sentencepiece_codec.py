@@ -27,7 +27,7 @@ from tradewatch.llm.common import ship_package
 
 SPACE = chr(0x2581)  # fixed value: the escaped blank of the model format
 SPACE_BYTES = SPACE.encode()
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 500_000
 CACHE_LENGTH = 64
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values: piece types
 
@@ -217,9 +217,8 @@ class Codec:
             got = cache.get(chunk)
             if got is None:
                 got = self._merge(chunk)
-                if len(chunk) <= CACHE_LENGTH:
-                    if len(cache) >= CACHE_CHUNKS:
-                        cache.clear()
+                # Frequent chunks come early: a full cache keeps what it has.
+                if len(chunk) <= CACHE_LENGTH and len(cache) < CACHE_CHUNKS:
                     cache[chunk] = got
             ids += got[0]
             sizes += got[1]

@@ -91,9 +91,8 @@ class MergeCounter:
             n = cache.get(p)
             if n is None:
                 n = self.merged(p)
-                if len(p) <= CACHE_LENGTH:
-                    if len(cache) >= CACHE_WORDS:
-                        cache.clear()
+                # Frequent pre-tokens come early: a full cache keeps what it has.
+                if len(p) <= CACHE_LENGTH and len(cache) < CACHE_WORDS:
                     cache[p] = n
             total += n
         return total
