@@ -54,7 +54,6 @@ def main() -> None:
         "pump_dump_events": lambda: P.pump_dump(C.ohlcv(sparse)),
         "wash_pairs_div1": lambda: W.wash_pairs(dense, WashConfig()),
         "wash_pairs_div1000": lambda: W.wash_pairs(dense, WashConfig(time_unit_divisor=1000)),
-        "wash_pairs_div1000_finite": lambda: W.wash_pairs(dense, WashConfig(time_unit_divisor=1000, values_finite=True)),
         "wash_pairs_div1000_same_second": lambda: W.wash_pairs(dense, WashConfig(time_unit_divisor=1000, value_bands=())),
     }
     for name, mk in plans.items():

@@ -61,10 +61,15 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a local one only if the session has none."""
+    """The shared checkpoint folder; a local one only in local mode, if the session has none.
+
+    On a cluster a folder of the driver's own disk is of no use to executors, so its lack raises.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tradewatch-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
