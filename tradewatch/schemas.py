@@ -36,6 +36,7 @@ BRONZE = StructType(
     ]
 )
 
+# The cleaned trade table's column names and types, as its consumers read them.
 SILVER = StructType(
     [
         StructField("trade_id", LongType(), True),
@@ -79,6 +80,7 @@ OHLCV = StructType(
     ]
 )
 
+# The pump-and-dump table's column names, types and order.
 PUMP_DUMP = StructType(
     [
         StructField("pump_window_start", TimestampNTZType(), True),
@@ -96,6 +98,7 @@ PUMP_DUMP = StructType(
     ]
 )
 
+# The wash-pair table's column names, types and order.
 WASH_PAIRS = StructType(
     [
         StructField("trade_date", DateType(), True),
@@ -109,6 +112,7 @@ WASH_PAIRS = StructType(
     ]
 )
 
+# The calendar dimension's column names, types and order.
 DIM_DATE = StructType(
     [
         StructField("date_id", IntegerType(), False),
@@ -121,6 +125,7 @@ DIM_DATE = StructType(
     ]
 )
 
+# The time-window dimension's column names, types and order.
 DIM_TIME_WINDOW = StructType(
     [
         StructField("window_id", LongType(), False),
