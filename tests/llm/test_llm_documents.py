@@ -500,3 +500,34 @@ def test_compact_windows_are_tree_nodes():
     assert of[20] == of[200]
     same = SD.passage_hashes(h)
     assert same[20] == same[200] and len(set(same.tolist())) == len(same) - (60 - SD.SPAN + 1)
+
+
+def test_short_edited_passages(spark):
+    rnd = random.Random(11)
+    some = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    rows = []
+    for g in range(100):
+        p = some(50 + g % 11)
+        q = [*p]
+        q[rnd.randrange(5, 45)] = "edit"
+        rows += [(2 * g, " ".join(some(rnd.randrange(30)) + p)), (2 * g + 1, " ".join(q + some(rnd.randrange(30))))]
+    got = SD.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i, _ in rows}
+
+
+def test_signatures_are_the_smallest_shingles():
+    rnd = np.random.default_rng(2)
+    h = rnd.integers(-(2**63), 2**63 - 1, 300)
+    h[7:200:11] = h[5]
+    often = np.sort(h[::3])
+    sig, first, last = SD.compact_windows(h, np.zeros(300, np.int64), often)
+    of = {}
+    for s, a, b in zip(sig.tolist(), first.tolist(), last.tolist()):
+        for i in range(a, b + 1):
+            of.setdefault(i, []).append(s)
+    rare = set(h.tolist()) - set(often.tolist())
+    for i in range(len(h) - SD.SPAN + 1):
+        window = h[i : i + SD.SPAN].tolist()
+        assert len(of[i]) == len(SD.BANDS) and not Counter(of[i]) - Counter(window)
+        # Frequent shingles only where the others are too few.
+        assert sum(s in rare for s in of[i]) == min(len(SD.BANDS), sum(x in rare for x in window))
