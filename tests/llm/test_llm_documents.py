@@ -531,3 +531,17 @@ def test_signatures_are_the_smallest_shingles():
         assert len(of[i]) == len(SD.BANDS) and not Counter(of[i]) - Counter(window)
         # Frequent shingles only where the others are too few.
         assert sum(s in rare for s in of[i]) == min(len(SD.BANDS), sum(x in rare for x in window))
+
+
+def test_edited_passages_that_the_first_text_of_a_group_lacks(spark):
+    rnd = random.Random(12)
+    some = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    rows, want = [], {}
+    for g in range(60):
+        line = some(44)  # 40 of a passage's 46 shingles, one too few to be similar
+        p = some(3) + line + some(3)
+        texts = [some(9) + line + some(9), ["edit", *p[1:]], [*p[:-1], "other"]]
+        rows += [(3 * g + i, " ".join(t)) for i, t in enumerate(texts)]
+        want |= {3 * g + 1: 3 * g + 1, 3 * g + 2: 3 * g + 1}
+    got = SD.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
