@@ -545,3 +545,24 @@ def test_edited_passages_that_the_first_text_of_a_group_lacks(spark):
         want |= {3 * g + 1: 3 * g + 1, 3 * g + 2: 3 * g + 1}
     got = SD.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in got} == want
+
+
+def test_edited_passage_behind_an_excerpt_of_it():
+    rnd = np.random.default_rng(4)
+    some = lambda n: rnd.integers(-(2**63), 2**63 - 1, n)
+    for size in (20, 25, 30, 40):
+        a = some(SD.SPAN)
+        b = np.concatenate([some(9), a[:size], some(30), a, some(9)])
+        at = 9 + size + 30
+        b[at + 20 : at + 25] = some(5)
+        in_a, in_b, left, _ = SD.compare(a, SD.Sorted(b), [(0, 0)])
+        assert in_a == [(0, SD.SPAN)] and not len(left)
+        assert (at, at + SD.SPAN) == (in_b[0][0], in_b[0][1])
+        # By brute force, with repeated shingles.
+        x, y = rnd.choice(a[:9], 150), rnd.choice(a[:9], 150)
+        x[60:], y[40:130] = a[:1], a[:1]
+        y[90] = 5
+        asked = np.ones(len(x) - SD.SPAN + 1, bool)
+        good = SD._similar(x, SD.Sorted(y), asked)
+        pairs = [(i, j) for i in range(len(asked)) for j in range(len(asked)) if SD.similar_bags(x[i : i + SD.SPAN], y[j : j + SD.SPAN])]
+        assert [np.flatnonzero(g).tolist() for g in good] == [sorted(set(p)) for p in zip(*pairs)]
