@@ -566,3 +566,26 @@ def test_edited_passage_behind_an_excerpt_of_it():
         good = SD._similar(x, SD.Sorted(y), asked)
         pairs = [(i, j) for i in range(len(asked)) for j in range(len(asked)) if SD.similar_bags(x[i : i + SD.SPAN], y[j : j + SD.SPAN])]
         assert [np.flatnonzero(g).tolist() for g in good] == [sorted(set(p)) for p in zip(*pairs)]
+
+
+def test_passage_twice_in_one_text(spark):
+    rnd = random.Random(13)
+    some = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    rows = []
+    for g in range(6):
+        p = some(60)
+        for c in range(2):
+            rows.append((2 * g + c, " ".join(some(7) + p + some(30) + p + some(9))))
+    got = SD.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    # A window may reach five words past the passage and still be similar.
+    assert {r.spans for r in got} == {"2-72,92-162"} and {(r.n_passages, r.n_dup_words) for r in got} == {(2, 140)}
+
+
+def test_all_places_of_a_passage_in_the_other_text():
+    rnd = np.random.default_rng(5)
+    some = lambda n: rnd.integers(-(2**63), 2**63 - 1, n)
+    a = some(SD.SPAN)
+    b = np.concatenate([some(5), a, some(49), a, some(9), a])
+    in_a, in_b, left, _ = SD.compare(a, SD.Sorted(b), [(0, 0)])
+    assert in_a == [(0, 46)] and in_b == [(5, 51), (100, 146), (155, 201)] and not len(left)
