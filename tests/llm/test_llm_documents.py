@@ -589,3 +589,13 @@ def test_all_places_of_a_passage_in_the_other_text():
     b = np.concatenate([some(5), a, some(49), a, some(9), a])
     in_a, in_b, left, _ = SD.compare(a, SD.Sorted(b), [(0, 0)])
     assert in_a == [(0, 46)] and in_b == [(5, 51), (100, 146), (155, 201)] and not len(left)
+
+
+def test_decontamination_at_the_threshold(spark):
+    # One word changed of 22: 16 shingles of 18 in common, a similarity of exactly 0.8.
+    rnd = random.Random(14)
+    items = [(i, [f"w{rnd.randrange(10**6)}" for _ in range(22)]) for i in range(600)]
+    docs = [(i, " ".join(["before", w[0], "edit", *w[2:], "after"])) for i, w in items]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.window_start, r.similarity) for r in got) == [(i, i, 1, 0.8) for i, _ in items]

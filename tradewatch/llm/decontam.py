@@ -1,13 +1,12 @@
 """Benchmark decontamination by item-sized windows (native).
 
 For every benchmark item the windows of a text that have as many words as the item are
-fingerprinted (SimHash over their shingles, repeats counted). Fingerprints are cut into
-``BLOCKS`` blocks and meet the item's in a multi-index: the Hamming ball of radius one
-around each of the item's blocks. Two fingerprints at most ``RADIUS`` bits apart differ by
-one bit at most in some block, so none within the radius is missed. A pair within the radius
-is verified by the exact weighted similarity of the two bags of shingles.
+compared with it by the exact weighted similarity of the two bags of shingles. Bags that are
+similar by t have at least ``t * m`` shingles of each bag's m in common, so in any order of
+the shingles the smallest common one is among the first ``m - t * m + 1`` of either bag:
+windows and items meet in an equi-join of these few, and no similar pair is missed.
 
-Only windows that can pass are fingerprinted. A bag of m shingles that is similar to an
+Only windows that can pass are taken. A bag of m shingles that is similar to an
 item's by t shares at least ``t * 2m / (1 + t)`` of them, so a window needs that many places
 whose shingle some item of its size has. Those places are found in two steps: a bit table of
 fixed size, filled from the benchmark's shingles, drops nearly every text in the scan
@@ -25,9 +24,6 @@ from tradewatch.llm.common import cut, settle, words
 
 SHINGLE = 5
 SIMILARITY = Fraction(4, 5)
-BITS = 64
-BLOCKS = 8
-RADIUS = 2 * BLOCKS - 1
 TABLE_BITS = 1 << 23  # of the bit table, one megabyte whatever the benchmark
 
 
@@ -71,26 +67,11 @@ def in_table(bits: Column, h: Column) -> Column:
     return is_set(0) & is_set(32)
 
 
-def fingerprint(bag: Column) -> Column:
-    """64 bits, each set if it is set in over half of the bag's hashes."""
-    half = F.size(bag)
-
-    def bit(b: Column) -> Column:
-        ones = F.aggregate(bag, F.lit(0), lambda a, h: a + F.call_function("shiftright", h, b).bitwiseAND(F.lit(1).cast("long")).cast("int"))
-        return F.when(2 * ones > half, F.call_function("shiftleft", F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long"))
-
-    return F.aggregate(F.sequence(F.lit(0), F.lit(BITS - 1)), F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(bit(b)))
-
-
-def _blocks(fp: Column, ball: bool) -> Column:
-    """(block, value) of a fingerprint, with ``ball`` also every value one bit away."""
-    width = BITS // BLOCKS
-    out = []
-    for i in range(BLOCKS):
-        v = F.shiftrightunsigned(fp, i * width).bitwiseAND(F.lit((1 << width) - 1))
-        flips = [0, *(1 << b for b in range(width))] if ball else [0]
-        out += [F.struct(F.lit(i).alias("block"), v.bitwiseXOR(F.lit(f).cast("long")).alias("value")) for f in flips]
-    return F.array(*out)
+def first_shingles(bag: Column, t: Fraction = SIMILARITY) -> Column:
+    """The smallest shingles of a bag, of which every bag similar by t has one among its own."""
+    n = F.size(bag)
+    common = F.floor((n * t.numerator + (t.denominator - 1)) / F.lit(t.denominator)).cast("int")
+    return F.array_distinct(F.slice(F.array_sort(bag), F.lit(1), n - common + 1))
 
 
 def common_weight(a: Column, b: Column) -> Column:
@@ -141,12 +122,10 @@ def _matches(docs: DataFrame, items: DataFrame, k: int, t: Fraction) -> DataFram
     windows = starts.alias("a").join(texts.alias("b"), same("doc_id") & (F.col("a.key") == F.col("b.key"))).select(
         "a.doc_id", "a.key", "n_words", "start", "m", F.slice(F.col("h"), F.col("start") + 1, F.col("m")).alias("bag")
     )
-    windows = settle(windows, fp=fingerprint(F.col("bag")))
-    asked = settle(items, item_fp=fingerprint(F.col("bag"))).withColumnRenamed("bag", "item_bag")
-    probe = windows.select("*", F.inline(_blocks(F.col("fp"), False)))
-    table = asked.select("*", F.inline(_blocks(F.col("item_fp"), True)))
-    apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    pairs = probe.join(table, ["n_words", "block", "value"]).where(apart <= RADIUS)
+    probe = windows.select("*", F.explode(first_shingles(F.col("bag"), t)).alias("first"))
+    asked = items.withColumnRenamed("bag", "item_bag")
+    table = asked.select("*", F.explode(first_shingles(F.col("item_bag"), t)).alias("first"))
+    pairs = probe.join(table, ["n_words", "first"])
     pairs = pairs.select("doc_id", "key", "item_id", "start", "m", "n_words", "bag", "item_bag").distinct()
     pairs = settle(pairs, c=common_weight(F.col("bag"), F.col("item_bag")))
     total = F.size("bag") + F.size("item_bag") - F.col("c")
