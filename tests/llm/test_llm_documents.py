@@ -599,3 +599,17 @@ def test_decontamination_at_the_threshold(spark):
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
     got = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
     assert sorted((r.doc_id, r.item_id, r.window_start, r.similarity) for r in got) == [(i, i, 1, 0.8) for i, _ in items]
+
+
+def test_private_keys_are_masked_whole(spark):
+    body = "\n".join("MIIEowIBAAKCAQ+/" * 4 for _ in range(5))
+    key = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n{body}\n-----END RSA PRIVATE KEY-----"
+    texts = {
+        f"é {key} after": "é [SECRET] after",
+        f"{key}\nbetween {key}": "[SECRET]\nbetween [SECRET]",
+        f"cut -----BEGIN PRIVATE KEY-----\n{body}": "cut [SECRET]",
+        f"cut -----BEGIN PRIVATE KEY-----\n{body}{key} after": "cut [SECRET] after",
+        "-----END PRIVATE KEY----- alone": "-----END PRIVATE KEY----- alone",
+    }
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.text for r in X.redact(frame).orderBy("doc_id").collect()] == list(texts.values())

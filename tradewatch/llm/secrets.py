@@ -47,6 +47,8 @@ MORE_RULES = (
 )
 RULES = (*BASE_RULES, *MORE_RULES)
 MASK = "[SECRET]"
+# What is masked after the first line of a private key: up to its last line, the next key or the end of the text.
+KEY_REST = r"(?s)^.*?(?:-----END [A-Z ]{0,40}PRIVATE KEY-----|(?=-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----)|\z)"
 MOST_STRINGS = 64  # longer lists of possible strings are closed and begun anew
 
 Need = frozenset  # trigrams that must all occur
@@ -238,9 +240,18 @@ def spans_text(spans: Column) -> Column:
 def redact(docs: DataFrame, rules=RULES) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``MASK`` and ``n_chars`` counted anew.
 
+    Of a private key all is masked: its first line, which is what the rule finds, the body and
+    the last line; a key without a last line goes on to the next key or the end of the text.
     Spans that overlap or touch become one. Texts without a secret stay as they are, nulls included.
     """
     d = find_secrets(docs, rules)
+
+    def whole(s: Column) -> Column:
+        rest = F.regexp_extract(F.substring(F.col("text"), s["end"] + 1, F.length("text")), KEY_REST, 0)
+        end = F.when(s["kind"] == "private_key", s["end"] + F.length(rest)).otherwise(s["end"])
+        return F.struct(s["start"].alias("start"), end.alias("end"))
+
+    d = settle(d, secrets=F.transform("secrets", whole))
     spans = F.col("secrets")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
