@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
+from tradewatch.llm import importance as I
 from tradewatch.llm import secrets as X
 from tradewatch.llm import sharding as SH
 from tradewatch.llm import url_filter as U
@@ -132,9 +133,42 @@ m AS (SELECT page_id, string_agg(n || ': ' || v, '; ' ORDER BY n) AS headers FRO
 SELECT page_id, url, later AS ts, response_id, response_ts, outcome, headers FROM o JOIN m USING (page_id)"""
 
 
+def _importance() -> str:
+    """CRC-32 byte by byte over a table that its polynomial gives; only different words are hashed."""
+    k = I.BUCKETS
+    return rf"""
+WITH RECURSIVE bits(i, c, k) AS (
+  SELECT i, i::BIGINT, 0 FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+txt AS (SELECT doc_id, row_number() OVER () AS rid, true AS raw, text FROM documents
+        UNION ALL SELECT NULL, -row_number() OVER (), false, text FROM benchmark),
+split AS MATERIALIZED (SELECT doc_id, rid, raw, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM txt),
+feature AS MATERIALIZED (SELECT rid, raw, unnest(w) AS f FROM split),
+bucket AS MATERIALIZED (
+  SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(x) // 2),
+                  lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % {k} AS b
+  FROM (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM feature)), crc),
+cell AS (SELECT i AS b, count(raw) FILTER (raw) AS s, count(raw) FILTER (NOT raw) AS t
+         FROM range({k}) r(i) LEFT JOIN (SELECT b, raw FROM feature JOIN bucket USING (f)) ON b = i GROUP BY i),
+gain AS MATERIALIZED (SELECT b, floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM cell) + {k})::DOUBLE
+           / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM cell) + {k})::DOUBLE)))::BIGINT AS g FROM cell),
+weight AS (SELECT rid, sum(g)::BIGINT AS weight FROM feature JOIN bucket USING (f) JOIN gain USING (b) GROUP BY rid),
+scored AS (SELECT doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight,
+                  coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('{I.SEED}:' || coalesce(doc_id::VARCHAR, ''))[:8])::BIGINT + 0.5)
+                  / 4294967296::DOUBLE)))::BIGINT AS score FROM split LEFT JOIN weight USING (rid) WHERE raw),
+able AS (SELECT *, row_number() OVER (PARTITION BY n_features >= {I.MIN_WORDS} ORDER BY score DESC, doc_id NULLS LAST) AS place,
+                count(*) FILTER (n_features >= {I.MIN_WORDS}) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= {I.MIN_WORDS} AND place <= {I.PERCENT} * n // 100 THEN place END AS rank FROM able"""
+
+
 ORACLE = {
     "op1_sharding": _sharding(),
     "op4_url_filters": _url_filter(),
     "op7_secret_scans": _secrets(),
     "op10_warc_revisits": _warc(),
+    "op11_importance_resampling": _importance(),
 }

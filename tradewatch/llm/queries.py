@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewatch.llm import decontam as D
+from tradewatch.llm import importance as I
+from tradewatch.llm import periodic_runs as PR
 from tradewatch.llm import quality as Q
 from tradewatch.llm import secrets as X
 from tradewatch.llm import sentencepiece_codec as SP
@@ -15,7 +17,7 @@ from tradewatch.llm import substring_dedup as SD
 from tradewatch.llm import token_counts as TC
 from tradewatch.llm import url_filter as U
 from tradewatch.llm import warc as W
-from tradewatch.llm.common import table
+from tradewatch.llm.common import settle, table, words
 
 
 def _vocabulary(name: str) -> str:
@@ -93,6 +95,44 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features, weight, score and rank of every document; ``benchmark`` is the target."""
+    ranked = I.importance_ranks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranked.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """The query's input: one text in ten, by its id's CRC-32, goes on with a period from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    chosen = settle(docs.select("doc_id", "text", g.alias("g"), (h % 10 == 0).alias("on")), w=F.when(F.col("on"), words(F.col("text"))))
+    n, a = F.size("w"), F.col("g") % F.size("w")
+    p = 1 + F.floor((n - a) / (3 + F.col("g") % 8))
+    sized = settle(chosen.withColumn("on", F.col("on") & (n > 0)), a=F.when(F.col("on"), a), p=F.when(F.col("on"), p))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")
+    turned = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("w", place(i)))
+    return sized.select("doc_id", F.when(F.col("on"), F.array_join(turned, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count, best run and digests of the runs of every document."""
+    found = PR.periodic_runs(_with_periods(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    better = lambda a, b: a["length"] * b["period"] - b["length"] * a["period"]
+    best = F.aggregate(
+        F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))), F.get("runs", 0),
+        lambda kept, r: F.when(better(r, kept) > 0, r).otherwise(kept),
+    )
+    return settle(found, best=best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda s: F.concat(s, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_simhash": op2_simhash,
@@ -104,4 +144,6 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_warc_revisits": op10_warc_revisits,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_periodic_runs": op12_periodic_runs,
 }
