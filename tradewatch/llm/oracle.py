@@ -7,6 +7,7 @@ import hashlib
 from tradewatch.llm import importance as I
 from tradewatch.llm import secrets as X
 from tradewatch.llm import sharding as SH
+from tradewatch.llm import suffix_dedup as SA
 from tradewatch.llm import url_filter as U
 from tradewatch.llm import warc as W
 
@@ -165,10 +166,30 @@ SELECT doc_id, n_features, weight, score,
        CASE WHEN n_features >= {I.MIN_WORDS} AND place <= {I.PERCENT} * n // 100 THEN place END AS rank FROM able"""
 
 
+def _suffix_dedup() -> str:
+    """Every start's string by its digest; two hexadecimal digits a byte."""
+    n = SA.LENGTH
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT rid, i, md5(substr(h, 2 * i + 1, {2 * n})) AS m FROM (SELECT rid, h, unnest(range(length(h) // 2 - {n - 1})) AS i FROM d)),
+hit AS (SELECT rid, unnest(starts) AS i FROM (
+          SELECT rid, list(i) AS starts, m, sum(count(*)) OVER (PARTITION BY m) AS n FROM w GROUP BY rid, m) WHERE n > 1),
+edge AS (SELECT rid, i, coalesce(i > lag(i) OVER (PARTITION BY rid ORDER BY i) + {n}, true)::INT AS new FROM hit),
+span AS (SELECT rid, min(i) AS s, max(i) + {n} AS e
+         FROM (SELECT rid, i, sum(new) OVER (PARTITION BY rid ORDER BY i) AS k FROM edge) GROUP BY rid, k),
+piece AS (SELECT rid, s, e, coalesce(lag(e) OVER (PARTITION BY rid ORDER BY s), 0) AS f FROM span),
+kept AS (SELECT rid, sum(e - s)::BIGINT AS n_removed, count(*) AS n_spans, max(e) AS e,
+                string_agg(substr(h, 2 * f + 1, 2 * (s - f)), '' ORDER BY s) AS k FROM piece JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k || substr(h, 2 * e + 1), h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)"""
+
+
 ORACLE = {
     "op1_sharding": _sharding(),
     "op4_url_filters": _url_filter(),
     "op7_secret_scans": _secrets(),
     "op10_warc_revisits": _warc(),
     "op11_importance_resampling": _importance(),
+    "op13_suffix_dedup": _suffix_dedup(),
 }

@@ -14,6 +14,7 @@ from tradewatch.llm import sentencepiece_codec as SP
 from tradewatch.llm import sharding as SH
 from tradewatch.llm import simhash as S
 from tradewatch.llm import substring_dedup as SD
+from tradewatch.llm import suffix_dedup as SA
 from tradewatch.llm import token_counts as TC
 from tradewatch.llm import url_filter as U
 from tradewatch.llm import warc as W
@@ -133,6 +134,16 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes, removed bytes and runs, and digest of what is left of every document."""
+    left = SA.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return left.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_simhash": op2_simhash,
@@ -146,4 +157,5 @@ QUERIES = {
     "op10_warc_revisits": op10_warc_revisits,
     "op11_importance_resampling": op11_importance_resampling,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
