@@ -43,13 +43,15 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--to", dest="date_to")
     ap.add_argument("--time-unit-divisor", type=int, default=1, help="1: as coded (µs), 1000: as documented (ms)")
     ap.add_argument("--exact-wash", action="store_true", help="also pair trades across a second boundary")
-    ap.add_argument("--symbol", help="which symbol's archives to load, if the landing folder has several")
+    ap.add_argument("--symbol", action="append", help="symbol to run; repeatable. Default: the only one with archives")
+    ap.add_argument("--all-symbols", action="store_true", help="run every symbol that has archives of the days")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"tradewatch-{args.stage}").getOrCreate()
     ensure_checkpoint_dir(spark)
     layout, days = DR.Layout(args.root), _days(args)
-    cfg = DR.RunConfig(wash=WashConfig(time_unit_divisor=args.time_unit_divisor, exact=args.exact_wash), symbol=args.symbol)
+    cfg = DR.RunConfig(wash=WashConfig(time_unit_divisor=args.time_unit_divisor, exact=args.exact_wash),
+                       symbols="all" if args.all_symbols else tuple(args.symbol) if args.symbol else None)
     out: dict = {"stage": args.stage, "days": [str(d) for d in days]}
     if args.stage == "ingest":
         DR.ingest(spark, layout, days, cfg)
@@ -62,9 +64,9 @@ def main(argv: list[str] | None = None) -> dict:
     elif args.stage == "wash-trade":
         DR.wash_stage(spark, layout, days, cfg)
     elif args.stage == "load":
-        DR.load_warehouse(spark, layout, days)
+        DR.load_warehouse(spark, layout, days, cfg)
     elif args.stage == "validate":
-        out["counts"] = DR.validate(spark, layout, days)
+        out["counts"] = DR.validate(spark, layout, days, cfg)
     else:
         out.update(DR.run_days(spark, layout, days, cfg))
     print(json.dumps(out, default=str))

@@ -61,8 +61,16 @@ def valid_trades(typed: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFram
     return typed.where(price_ok & qty_ok & date_ok)
 
 
+SURVIVOR_FIRST = ("time", "trade_time")
+
+
+def survivor_order(columns: list[str], first: tuple[str, ...] = SURVIVOR_FIRST) -> list[str]:
+    """The columns by which a repeated key's surviving row is the least: ``first``, then the others in order."""
+    return [c for c in first if c in columns] + [c for c in columns if c not in first]
+
+
 def dedup_trades(
-    df: DataFrame, key: str = "trade_id", day: str = "trade_date", first: tuple[str, ...] = ("time", "trade_time")
+    df: DataFrame, key: str = "trade_id", day: str = "trade_date", first: tuple[str, ...] = SURVIVOR_FIRST
 ) -> DataFrame:
     """One row per (day, key): the earliest row, ties broken by the other columns in order.
 
@@ -75,7 +83,7 @@ def dedup_trades(
     """
     own = symbol_keys(df)
     rest = [c for c in df.columns if c not in (key, day, *own)]
-    ordered = [c for c in first if c in rest] + [c for c in rest if c not in first]
+    ordered = survivor_order(rest, first)
     return (
         df.groupBy(*own, day, key)
         .agg(F.min(F.struct(*ordered)).alias("_row"), F.count(F.lit(1)).alias("copies"))

@@ -5,14 +5,15 @@ every day comes from one two-level aggregate: first per (day, trade_id) —
 which also yields the exact distinct-key count with NULL counted once, like
 ``distinct().count()`` — then per day. Both levels aggregate map-side, so a
 key or a day holding a third of the rows is collapsed before any shuffle.
-Only the per-day report (one row per day) ever reaches the driver.
+Only the per-day report (one row per day) ever reaches the driver. The daily run takes
+the first level along with the de-duplication instead (:mod:`tradewatch.operators.staged`).
 """
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewatch.config import CleanConfig, DQConfig
@@ -20,26 +21,27 @@ from tradewatch.operators.clean import step_flags
 from tradewatch.schemas import symbol_keys
 
 
-def _per_key(typed: DataFrame, cfg: CleanConfig) -> DataFrame:
+# Measures of one (symbol, day, trade id), in the order of :func:`key_counts`.
+KEY_COUNTS = ["n", "n_price_bad", "n_qty_bad", "n_ts_bad", "n_rm_price", "n_rm_qty", "n_rm_date", "n_kept"]
+
+
+def key_counts(cfg: CleanConfig = CleanConfig()) -> list[Column]:
+    """Aggregates over the typed rows of one (symbol, day, trade id): rows, invalid ones, and those each step removes."""
     price_ok, qty_ok, date_ok = step_flags(cfg)
     price_bad = F.col("price").isNull() | (F.col("price") <= 0)
     qty_bad = F.col("qty").isNull() | (F.col("qty") <= 0)
     ts_bad = F.col("trade_time").isNull() | (F.to_date("trade_time") != F.col("trade_date"))
-    return typed.groupBy(*symbol_keys(typed), "trade_date", "trade_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(price_bad).alias("n_price_bad"),
-        F.count_if(qty_bad).alias("n_qty_bad"),
-        F.count_if(ts_bad).alias("n_ts_bad"),
-        F.count_if(~price_ok).alias("n_rm_price"),
-        F.count_if(price_ok & ~qty_ok).alias("n_rm_qty"),
-        F.count_if(price_ok & qty_ok & ~date_ok).alias("n_rm_date"),
-        F.count_if(price_ok & qty_ok & date_ok).alias("n_kept"),
-    )
+    conditions = [
+        price_bad, qty_bad, ts_bad,
+        ~price_ok, price_ok & ~qty_ok, price_ok & qty_ok & ~date_ok, price_ok & qty_ok & date_ok,
+    ]
+    counts = [F.count(F.lit(1)), *[F.count_if(c) for c in conditions]]
+    return [c.alias(name) for c, name in zip(counts, KEY_COUNTS)]
 
 
-def audit(typed: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
-    """One row per day: DQ measures (Q1-Q5) and cleaning step counts."""
-    per_day = _per_key(typed, cfg).groupBy("trade_date").agg(
+def day_measures(per_key: DataFrame, by: list[str]) -> DataFrame:
+    """DQ measures (Q1-Q5) and cleaning step counts (F10) per ``by``, from rows of :data:`KEY_COUNTS`, one a key."""
+    return per_key.groupBy(*by).agg(
         F.sum("n").alias("total_rows"),
         F.sum("n_price_bad").alias("invalid_prices"),
         F.sum("n_qty_bad").alias("invalid_qty"),
@@ -51,7 +53,11 @@ def audit(typed: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
         (F.sum("n_kept") - F.count_if(F.col("n_kept") > 0)).alias("removed_duplicates"),
         F.count_if(F.col("n_kept") > 0).alias("rows_out"),
     )
-    return per_day
+
+
+def audit(typed: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
+    """One row per day: DQ measures (Q1-Q5) and cleaning step counts."""
+    return day_measures(typed.groupBy(*symbol_keys(typed), "trade_date", "trade_id").agg(*key_counts(cfg)), ["trade_date"])
 
 
 def _with_gates(report: DataFrame, dq: DQConfig) -> DataFrame:
@@ -109,9 +115,13 @@ def dq_report(
 ) -> DataFrame:
     """Q1-Q6 per day, before any filtering, with the pass/fail of each gate;
     ``with_steps`` adds the cleaning step counts of the same aggregate."""
-    rep = expected_days(audit(typed, cfg), days)
+    return gated_report(expected_days(audit(typed, cfg), days), dq, with_steps)
+
+
+def gated_report(measures: DataFrame, dq: DQConfig = DQConfig(), with_steps: bool = False) -> DataFrame:
+    """:func:`day_measures` with the rates and the pass/fail of each gate; per symbol if it has one."""
     cols = DQ_COLUMNS + ([c for c in STEP_COLUMNS if c not in DQ_COLUMNS] if with_steps else [])
-    return _with_gates(rep, dq).select(*cols)
+    return _with_gates(measures, dq).select(*symbol_keys(measures), *cols)
 
 
 def step_counts(typed: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
@@ -123,16 +133,20 @@ class DataQualityError(ValueError):
     pass
 
 
+def _name(r: dict) -> str:
+    return f"{r['symbol']} {r['trade_date']}" if r.get("symbol") else str(r["trade_date"])
+
+
 def enforce(report: DataFrame, dq: DQConfig = DQConfig()) -> list[dict]:
     """Raise on any failing day (empty, or a rate above its threshold); return the rows.
 
     Collects the per-day report only: one row per day.
     """
-    rows = [r.asDict() for r in report.orderBy("trade_date").collect()]
+    rows = [r.asDict() for r in report.orderBy("trade_date", *symbol_keys(report)).collect()]
     bad = []
     for r in rows:
         if not r["total_rows"]:
-            bad.append(f"{r['trade_date']}: no rows")
+            bad.append(f"{_name(r)}: no rows")
             continue
         for rate, limit, what in (
             ("invalid_price_rate", dq.max_invalid_price_rate, "price"),
@@ -140,7 +154,7 @@ def enforce(report: DataFrame, dq: DQConfig = DQConfig()) -> list[dict]:
             ("out_of_range_rate", dq.max_out_of_range_rate, "timestamp"),
         ):
             if r[rate] is not None and r[rate] > limit:
-                bad.append(f"{r['trade_date']}: {what} invalidity {r[rate]:.2%} exceeds {limit:.0%}")
+                bad.append(f"{_name(r)}: {what} invalidity {r[rate]:.2%} exceeds {limit:.0%}")
     if bad:
         raise DataQualityError("; ".join(bad))
     return rows
@@ -151,7 +165,7 @@ def warnings_of(rows: list[dict], dq: DQConfig = DQConfig()) -> list[str]:
     out = []
     for r in rows:
         if not r["row_count_ok"]:
-            out.append(f"{r['trade_date']}: {r['total_rows']} rows, fewer than {dq.min_rows}")
+            out.append(f"{_name(r)}: {r['total_rows']} rows, fewer than {dq.min_rows}")
         if r["duplicate_trade_ids"]:
-            out.append(f"{r['trade_date']}: {r['duplicate_trade_ids']} rows repeat a trade id")
+            out.append(f"{_name(r)}: {r['duplicate_trade_ids']} rows repeat a trade id")
     return out

@@ -11,22 +11,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tradewatch.config import WashConfig
+from tradewatch.config import DQConfig, WashConfig
 from tradewatch.operators import candles as C
 from tradewatch.operators import clean as CL
 from tradewatch.operators import dq as DQ
 from tradewatch.operators import pump as P
+from tradewatch.operators import staged as ST
 from tradewatch.operators import warehouse as WH
 from tradewatch.operators import wash as W
+from tradewatch.sources import calendar as CAL
+from tradewatch.sources import facts as FT
 from tradewatch.sources import fixtures as FX
 from tradewatch.sources import landing as LD
 from tradewatch.sources import layers as LY
+from tradewatch.sources import manifest as MF
 from tradewatch.functions import date_id, epoch_us_to_ts, to_epoch_us
 from tradewatch.plans import daily_run as DR
-from tradewatch.schemas import PUMP_DUMP
+from tradewatch.schemas import DIM_DATE, PUMP_DUMP
 from tradewatch.session import scratch_path
 
 R = 6
@@ -310,11 +314,11 @@ def q_warehouse_load(spark, sf_dir):
     LD.write_landing(rows, layout.landing, base + "/staging")
     days = [r.trade_date for r in rows.select("trade_date").distinct().collect()]  # calendar days
     DR.run_days(spark, layout, days)
-    dim = spark.read.parquet(layout.dw("dim_date"))
-    trades = spark.read.parquet(layout.dw("fact_trades")).groupBy("date_id").agg(
+    dim = CAL.read_calendar(spark, layout.dw("dim_date"))
+    trades = DR.read_facts(spark, layout, "fact_trades").groupBy("date_id").agg(
         F.count(F.lit(1)).alias("trades"), F.round(F.sum(F.col("usd_value").cast("double")), 4).alias("usd")
     )
-    pumps = spark.read.parquet(layout.dw("fact_pump_dump_events")).groupBy(date_id("trade_date").alias("date_id")).agg(F.count(F.lit(1)).alias("pumps"))
+    pumps = DR.read_facts(spark, layout, "fact_pump_dump_events").groupBy(date_id("trade_date").alias("date_id")).agg(F.count(F.lit(1)).alias("pumps"))
     return trades.join(dim.select("date_id", "day_of_week"), "date_id").join(pumps, "date_id", "left").fillna(0, ["pumps"])
 
 
@@ -358,6 +362,122 @@ def q_symbols_wash(spark, sf_dir):
     return pairs.select("symbol", "trade_date", "buy_trade_id", "sell_trade_id", F.round("wash_score", 6).alias("wash_score"))
 
 
+# ---------------------------------------------------------------- publishing, commits, registry
+def _days_of(df: DataFrame) -> list:
+    return sorted(r.trade_date for r in df.select("trade_date").distinct().collect())  # calendar days
+
+
+def q_staged_audit(spark, sf_dir):
+    """DQ measures and step counts as the staged cleaning carries them."""
+    return ST.staged_measures(ST.audited_trades(FX.bronze_text(FX.bronze_dirty(_events(spark, sf_dir)))))
+
+
+def q_silver_publish(spark, sf_dir):
+    """Silver after one run that passes its gates and one, of half the trades at a bad price, that does not."""
+    layout = DR.Layout(scratch_path(spark, "publish"))
+    bronze = FX.bronze_text(FX.bronze_dirty(_events(spark, sf_dir))).withColumn("_ingested_at", F.lit(None).cast("timestamp_ntz"))
+    days = _days_of(bronze)
+    open_gates = DQConfig(max_invalid_price_rate=1.0, max_invalid_qty_rate=1.0, max_out_of_range_rate=1.0)
+    DR.write_bronze(bronze, layout, days)
+    DR.bronze_to_silver(spark, layout, days, DR.RunConfig(dq=open_gates))
+    DR.write_bronze(bronze.withColumn("price", F.when(F.col("trade_id").cast("long") % 2 == 0, F.lit("0")).otherwise(F.col("price"))), layout, days)
+    refused = False
+    try:
+        DR.bronze_to_silver(spark, layout, days, DR.RunConfig(dq=DQConfig(max_invalid_qty_rate=1.0, max_out_of_range_rate=1.0)))
+    except DQ.DataQualityError:
+        refused = True
+    silver = spark.read.parquet(layout.silver)
+    return silver.groupBy("processed_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("trade_id").alias("ids"), F.round(F.sum("price"), 4).alias("prices")
+    ).withColumn("refused", F.lit(refused))
+
+
+def _loaded_layout(spark, sf_dir, name: str) -> tuple:
+    """A layout whose silver and events are those of ``trades_sparse``, loaded once; and its days."""
+    layout = DR.Layout(scratch_path(spark, name))
+    bronze = _landing_rows(spark, sf_dir).withColumns(
+        {"_source_file": F.lit("fixture"), "_ingested_at": F.lit(None).cast("timestamp_ntz")}
+    )
+    days = _days_of(bronze)
+    silver = CL.clean_trades(bronze)
+    LY.replace_days(silver, layout.silver, "processed_date", days)
+    cfg = DR.RunConfig()
+    for stage in (DR.candles_stage, DR.pump_stage, DR.wash_stage):
+        stage(spark, layout, days, cfg)
+    DR.load_warehouse(spark, layout, days, cfg)
+    return layout, days
+
+
+def q_facts_by_commit(spark, sf_dir):
+    """Facts by the commit log: the load's, though a later load wrote half the trades again and died before its commit."""
+    layout, days = _loaded_layout(spark, sf_dir, "commits")
+    manifest = MF.load_manifest(spark, layout.manifest)
+    half = DR.facts_at(spark, layout, manifest, "fact_trades").where("trade_id % 2 = 0")
+    FT.write_version(half, layout.dw("fact_trades"), "processed_date", manifest.next_version())
+    trades = DR.read_facts(spark, layout, "fact_trades", days).groupBy(F.col("processed_date").alias("trade_date")).agg(
+        F.count(F.lit(1)).alias("trades"), F.sum("trade_id").alias("ids")
+    )
+    pumps = DR.read_facts(spark, layout, "fact_pump_dump_events", days).groupBy("trade_date").agg(F.count(F.lit(1)).alias("pumps"))
+    keys = spark.createDataFrame([(e.day, e.keys[0]) for e in manifest.entries.values()], "day string, keys long")  # one a day
+    keys = keys.select(F.col("day").cast("date").alias("trade_date"), "keys")
+    return trades.join(pumps, "trade_date", "left").fillna(0, ["pumps"]).join(keys, "trade_date")
+
+
+def q_loaded_keys(spark, sf_dir):
+    """Trade ids of each day that the registry of other trades has: every seventh, and many beyond the last."""
+    t = FX.trades_sparse(_events(spark, sf_dir)).select("trade_id", F.col("trade_date").alias("processed_date"))
+    far = t.select((F.col("trade_id") + 10_000_000).alias("trade_id"), "processed_date")
+    known = WH.key_words(t.where("trade_id % 7 = 0").unionByName(far), "processed_date", "trade_id")
+    return WH.loaded_keys(WH.key_words(t, "processed_date", "trade_id"), known.drop("processed_date"), "processed_date")
+
+
+def q_calendar(spark, sf_dir):
+    """dim_date after two loads that started from the same empty state."""
+    root, days = scratch_path(spark, "dim-date"), _days_of(FX.trades_sparse(_events(spark, sf_dir)))
+    loads = [CAL.missing_blocks(spark, root, days), CAL.missing_blocks(spark, root, days[1:])]
+    for new in loads:
+        CAL.write_blocks(new, root)
+    return spark.read.parquet(root).select(*DIM_DATE.names)
+
+
+def q_symbols_warehouse(spark, sf_dir):
+    """Two archives a day, from landing to facts per symbol; then the second symbol again with half its trades."""
+    layout = DR.Layout(scratch_path(spark, "symbols"))
+    rows = _landing_rows(spark, sf_dir)
+    days = _days_of(rows)
+    other = rows.where("trade_id % 3 <> 0").withColumn("price", F.col("price") * 2)
+    for s, r in (("AAAUSDT", rows), ("BBBUSDT", other)):
+        LD.write_landing(r, layout.landing, f"{layout.root}/staging-{s}", s)
+    DR.run_days(spark, layout, days, DR.RunConfig(symbols="all"))
+    LD.write_landing(other.where("trade_id % 2 = 0"), layout.landing, f"{layout.root}/staging-again", "BBBUSDT")
+    DR.run_days(spark, layout, _days_of(other.where("trade_id % 2 = 0")), DR.RunConfig(symbol="BBBUSDT"))
+    return DR.read_facts(spark, layout, "fact_trades").groupBy("symbol", "processed_date").agg(
+        F.count(F.lit(1)).alias("trades"), F.sum("trade_id").alias("ids"), F.round(F.sum(F.col("price").cast("double")), 4).alias("prices")
+    )
+
+
+def q_landing_csv(spark, sf_dir):
+    """Extracted CSV files, one a day, named as the archives are."""
+    folder, parts = scratch_path(spark, "csv"), scratch_path(spark, "csv-parts")
+    rows = _landing_rows(spark, sf_dir)
+    rows.repartition("trade_date").write.partitionBy("trade_date").option("header", False).csv(parts)
+    for day in LY.child_names(spark, parts):
+        for part in LY.child_names(spark, f"{parts}/{day}"):
+            if part.startswith("part-"):
+                LY.rename(spark, f"{parts}/{day}/{part}", f"{folder}/{LD.DEFAULT_SYMBOL}-trades-{day.partition('=')[2]}.csv")
+    typed = CL.typed_trades(LD.read_landing_csv(spark, folder))
+    return typed.select("trade_id", "price", "qty", "quote_qty", "time", "is_buyer_maker", "is_best_match", "_source_file", "trade_date")
+
+
+def q_candle_order(spark, sf_dir):
+    """Candles of each day as stored, and how many of them stand in their file before an earlier one (O1)."""
+    root = scratch_path(spark, "candle-order")
+    LY.replace_days(_candles(spark, sf_dir), root, "trade_date", None, sort_within=["window_start"])
+    stored = spark.read.parquet(root).select("trade_date", "window_start", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i"))
+    late = F.lead("window_start").over(Window.partitionBy("f").orderBy("i")) < F.col("window_start")
+    return stored.withColumn("late", late).groupBy("trade_date").agg(F.count(F.lit(1)).alias("candles"), F.count_if("late").alias("out_of_order"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_trades": q_clean_trades,
     "clean_step_counts": q_clean_step_counts,
@@ -399,4 +519,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "symbols_candles": q_symbols_candles,
     "symbols_pump": q_symbols_pump,
     "symbols_wash": q_symbols_wash,
+    "staged_audit": q_staged_audit,
+    "silver_publish": q_silver_publish,
+    "facts_by_commit": q_facts_by_commit,
+    "loaded_keys": q_loaded_keys,
+    "calendar": q_calendar,
+    "symbols_warehouse": q_symbols_warehouse,
+    "landing_csv": q_landing_csv,
+    "candle_order": q_candle_order,
 }

@@ -322,4 +322,41 @@ WITH c AS ({CANDLES}),
 n AS (SELECT trade_date, count(*) AS candles FROM c GROUP BY trade_date),
 k AS (SELECT trade_date, row_number() OVER (ORDER BY trade_date) - 1 AS i, count(*) OVER () AS m FROM n)
 SELECT n.trade_date, n.candles FROM n JOIN k USING (trade_date) WHERE k.i <> k.m // 2 + 1""",
+    "staged_audit": f"""
+WITH b AS ({DIRTY}),
+f AS (SELECT *, coalesce(price > 0, false) AS p_ok, coalesce(qty > 0, false) AS q_ok,
+             coalesce(CAST(trade_time AS DATE) = trade_date, false) AS d_ok FROM b),
+k AS (SELECT trade_date, trade_id, count(*) AS n, count_if(p_ok AND q_ok AND d_ok) AS kept FROM f GROUP BY 1, 2),
+d AS (SELECT trade_date, sum(n - 1) AS again, sum(greatest(kept - 1, 0)) AS removed, count_if(kept > 0) AS rows_out FROM k GROUP BY 1)
+SELECT f.trade_date, {_count('count(*)')} AS total_rows, {_count('count_if(price IS NULL OR price <= 0)')} AS invalid_prices,
+       {_count('count_if(qty IS NULL OR qty <= 0)')} AS invalid_qty,
+       {_count('count_if(trade_time IS NULL OR CAST(trade_time AS DATE) <> f.trade_date)')} AS out_of_range_timestamps,
+       {_count('any_value(again)')} AS duplicate_trade_ids, {_count('count_if(NOT p_ok)')} AS removed_price,
+       {_count('count_if(p_ok AND NOT q_ok)')} AS removed_qty, {_count('count_if(p_ok AND q_ok AND NOT d_ok)')} AS removed_date,
+       {_count('any_value(removed)')} AS removed_duplicates, {_count('any_value(rows_out)')} AS rows_out
+FROM f JOIN d USING (trade_date) GROUP BY f.trade_date""",
+    "silver_publish": f"""
+SELECT processed_date, count(*) AS rows, CAST(sum(trade_id) AS BIGINT) AS ids, round(sum(price), 4) AS prices, true AS refused
+FROM ({SILVER}) s GROUP BY processed_date""",
+    "facts_by_commit": f"""
+WITH t AS (SELECT trade_date, count(*) AS trades, CAST(sum(trade_id) AS BIGINT) AS ids, count(*) AS keys FROM ({SPARSE}) s GROUP BY 1),
+p AS (SELECT trade_date, count(*) AS n FROM ({EVENTS}) e GROUP BY 1)
+SELECT t.*, coalesce(p.n, 0) AS pumps FROM t LEFT JOIN p USING (trade_date)""",
+    "loaded_keys": f"""
+SELECT trade_date AS processed_date, count(*) AS loaded_keys FROM ({SPARSE}) t WHERE trade_id % 7 = 0 GROUP BY 1""",
+    "calendar": f"""
+WITH d AS (SELECT CAST(g AS DATE) AS full_date FROM generate_series(TIMESTAMP '2026-01-01', TIMESTAMP '2027-02-04', INTERVAL 1 DAY) AS gs(g)
+           UNION SELECT trade_date FROM ({SPARSE}) t)
+SELECT {DIM_COLS} FROM d""",
+    "symbols_warehouse": f"""
+SELECT symbol, trade_date AS processed_date, count(*) AS trades, CAST(sum(trade_id) AS BIGINT) AS ids,
+       round(sum(CAST(CAST(price AS DECIMAL(20,10)) AS DOUBLE)), 4) AS prices
+FROM ({TWO_SYMBOLS}) t WHERE symbol = 'AAAUSDT' OR trade_id % 2 = 0
+    OR trade_date NOT IN (SELECT trade_date FROM ({SPARSE}) s WHERE trade_id % 2 = 0 AND trade_id % 3 <> 0) GROUP BY 1, 2""",
+    "landing_csv": f"""
+SELECT trade_id, price, qty, price * qty AS quote_qty, epoch_us(trade_time) AS time, is_buyer_maker, true AS is_best_match,
+       'ABCUSDT-trades-' || strftime(trade_date, '%Y-%m-%d') || '.csv' AS _source_file, trade_date
+FROM ({SPARSE}) t""",
+    "candle_order": f"""
+SELECT trade_date, count(*) AS candles, CAST(0 AS BIGINT) AS out_of_order FROM ({CANDLES}) c GROUP BY trade_date""",
 }

@@ -178,6 +178,21 @@ FACT_WASH_CONTRACT: list[tuple[str, DecimalType | None]] = [
     ("processed_date", None),
 ]
 
+
+
+def _fact_schema(contract: list[tuple[str, DecimalType | None]], source: StructType) -> StructType:
+    """A fact table's stored schema: the contract's decimals, else the source column's type."""
+    types = {f.name: f.dataType for f in source.fields} | {"date_id": IntegerType()}
+    return StructType([StructField(c, t or types[c], True) for c, t in contract])
+
+
+# Fact table -> (day column, stored schema).
+FACTS: dict[str, tuple[str, StructType]] = {
+    "fact_trades": ("processed_date", _fact_schema(FACT_TRADES_CONTRACT, SILVER)),
+    "fact_pump_dump_events": ("trade_date", _fact_schema(FACT_PUMP_DUMP_CONTRACT, PUMP_DUMP)),
+    "fact_wash_trade_pairs": ("trade_date", _fact_schema(FACT_WASH_CONTRACT, WASH_PAIRS)),
+}
+
 # Allowed severities of fact_pump_dump_events.
 SEVERITIES = ["HIGH", "MEDIUM", "LOW"]
 
