@@ -12,19 +12,21 @@ another; every byte that a repeated string covers is removed. The strings of a t
    nothing repeated, one found twice or more and no other beside it is repeated throughout: neither
    needs its bytes read again. Copies of any number, a hot passage too, end here as one row.
 3. The different stretches under one gram are the candidates. Their bytes are fetched, joined to one
-   sequence (with a symbol between them that no byte has), and its suffix array is built. The starts
+   sequence (with a symbol between them that no byte has; blocks of starts that share no core of
+   bytes with another stretch are left out, as in 4), and its suffix array is built. The starts
    whose suffix has ``LENGTH`` bytes in common with a neighbour are repeated.
 4. Grams with more than ``MOST`` different stretches (the edges of a passage in very many texts) do
    not fit one task. Their stretches are cut into blocks of ``BLOCK`` starts, aligned to the gram; blocks
    whose common core no other stretch has are dropped, the rest is counted string by string.
 
-Everything is joined on grams and digests (128 bits), no task holds more
-than ``MOST`` stretches of a gram or one text.
+Everything is joined on grams and digests (128 bits); no task holds more than ``MOST`` stretches of a
+gram or one text.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -191,34 +193,56 @@ def _found_batch(keys: list[tuple[int, bytes]], spans: list[list[tuple[int, int]
     )
 
 
+def _blocks_of_starts(starts: int, off: int) -> Iterator[tuple[int, int, int]]:
+    """(aligned start, first start, end) of the blocks of a stretch; alignment counts from the gram."""
+    for x in range(-(-off % BLOCK), starts, BLOCK):
+        yield x, max(x, 0), min(x + BLOCK, starts)
+
+
+def _sharing(group: dict[bytes, tuple[int, bytes]], length: int) -> Iterator[tuple[bytes, int, bytes]]:
+    """(digest, first start, bytes) of the part of a gram's stretches whose blocks have a core in common with another one."""
+    cores = {
+        d: [(_digest(memoryview(data)[x + BLOCK - 1 : x + length]), a, z) for x, a, z in _blocks_of_starts(len(data) - length + 1, off)]
+        for d, (off, data) in group.items()
+    }
+    met = Counter(c for blocks in cores.values() for c in {c for c, _, _ in blocks})
+    for d, blocks in cores.items():
+        shared = [(a, z) for c, a, z in blocks if met[c] > 1]
+        if shared:
+            first = shared[0][0]
+            yield d, first, group[d][1][first : shared[-1][1] + length - 1]
+
+
 def _by_suffix_array(candidates: DataFrame, length: int) -> DataFrame:
-    """(gram, digest, spans) of candidates (gram, digest, data): the grams of a partition, a pack at a time."""
+    """(gram, digest, spans) of candidates (gram, digest, off, data): the grams of a partition, a pack at a time.
+
+    Blocks of starts whose common core (as in step 4) no other stretch of the gram has are left out first.
+    """
+
+    def settled(pack: list[tuple[int, bytes, int, bytes]]) -> pa.RecordBatch:
+        spans = _repeated_starts([p[3] for p in pack], length)
+        moved = [[(a + p[2], z + p[2]) for a, z in s] for p, s in zip(pack, spans)]
+        return _found_batch([(p[0], p[1]) for p in pack], moved)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack: dict[tuple[int, bytes], bytes] = {}
-        size, last = 0, None
+        pack, group, last = [], {}, None
         for b in batches:
-            for g, d, data in zip(*[b.column(i).to_pylist() for i in range(3)]):
-                if g != last and size >= PACK_BYTES:
-                    yield _found_batch(list(pack), _repeated_starts(list(pack.values()), length))
-                    pack, size = {}, 0
-                if (g, d) not in pack:
-                    pack[g, d] = data
-                    size += len(data)
-                last = g
+            for g, d, off, data in zip(*[b.column(i).to_pylist() for i in range(4)]):
+                if g != last:
+                    pack += [(last, *x) for x in _sharing(group, length)]
+                    group, last = {}, g
+                    if sum(len(p[3]) for p in pack) >= PACK_BYTES:
+                        yield settled(pack)
+                        pack = []
+                group[d] = (off, data)
+        pack += [(last, *x) for x in _sharing(group, length)]
         if pack:
-            yield _found_batch(list(pack), _repeated_starts(list(pack.values()), length))
+            yield settled(pack)
 
-    dealt = candidates.select("gram", "digest", "data").repartition("gram").sortWithinPartitions("gram", "digest")
+    dealt = candidates.select("gram", "digest", "off", "data").repartition("gram").sortWithinPartitions("gram", "digest")
     return dealt.mapInArrow(run, _FOUND)
 
 
-def _blocks_of_starts(starts: int, off: int) -> Iterator[tuple[int, int, int]]:
-    """(aligned start, first start, end) of the blocks of a stretch; alignment counts from the gram."""
-    for x in range(-(-off % BLOCK), starts, BLOCK):
-        yield x, max(x, 0), min(x + BLOCK, starts)
-
-
 def _by_single_strings(candidates: DataFrame, length: int) -> DataFrame:
     """Step 4: (gram, digest, spans) of candidates (gram, digest, off, data) under grams that are too hot for one task."""
     out = T.StructType([
