@@ -17,6 +17,7 @@ from datetime import date, timedelta
 from pyspark.sql import SparkSession
 
 from tradewatch.config import WashConfig
+from tradewatch.operators.wash import HOT_CELL_PAIRS
 from tradewatch.plans import daily_run as DR
 from tradewatch.session import ensure_checkpoint_dir
 
@@ -50,7 +51,7 @@ def main(argv: list[str] | None = None) -> dict:
     spark = SparkSession.builder.appName(f"tradewatch-{args.stage}").getOrCreate()
     ensure_checkpoint_dir(spark)
     layout, days = DR.Layout(args.root), _days(args)
-    cfg = DR.RunConfig(wash=WashConfig(time_unit_divisor=args.time_unit_divisor, exact=args.exact_wash),
+    cfg = DR.RunConfig(wash=WashConfig(time_unit_divisor=args.time_unit_divisor, exact=args.exact_wash, hot_cell_pairs=HOT_CELL_PAIRS),
                        symbols="all" if args.all_symbols else tuple(args.symbol) if args.symbol else None)
     out: dict = {"stage": args.stage, "days": [str(d) for d in days]}
     if args.stage == "ingest":

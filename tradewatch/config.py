@@ -87,6 +87,10 @@ class WashConfig:
     # ``min_time_cell`` so sparse seconds do not split into one-row cells.
     time_cell: int | None = None
     min_time_cell: int = 10_000
+    # Join cells with more buy x sell pairs than this are dealt out over several tasks, which costs
+    # a count of the trades per second first; ``None`` leaves them to the join as they are. The
+    # daily run sets it.
+    hot_cell_pairs: int | None = None
     # Value dimensions also cut into band cells: "auto" adds ``qty`` whenever
     # the time cells are a bucket or wider (documented unit, J1 and J1b).
     value_bands: tuple[str, ...] | str = "auto"

@@ -87,7 +87,7 @@ class RunConfig:
     dq: DQConfig = field(default_factory=DQConfig)
     candles: CandleConfig = field(default_factory=CandleConfig)
     pump: PumpConfig = field(default_factory=PumpConfig)
-    wash: WashConfig = field(default_factory=WashConfig)
+    wash: WashConfig = field(default_factory=lambda: WashConfig(hot_cell_pairs=W.HOT_CELL_PAIRS))
     # The symbols of the run; the layout's others are left alone. ``symbol``: one. ``symbols``: several, or
     # "all" that have archives of the run's days. Neither: the only one that has archives, and later
     # stages take whatever the days hold.
