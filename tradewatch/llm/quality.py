@@ -69,10 +69,24 @@ def with_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return settle(w, __m=m).drop("__p", "__lines")
 
 
+def _bucket(*run: Column) -> Column:
+    return F.pmod(F.xxhash64(*run), F.lit(BUCKETS)).cast("int")
+
+
 def _buckets(w: Column) -> Column:
     """Buckets of the words and word pairs."""
-    place = lambda x: F.pmod(x, F.lit(BUCKETS)).cast("int")
-    return F.concat(F.transform(_hashes(w, 1), place), F.transform(_hashes(w, 2), place))
+    pairs = F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda i: _bucket(F.get(w, i), F.get(w, i + 1)))
+    single = F.transform(w, lambda x: _bucket(x))
+    return F.when(F.size(w) > 1, F.concat(single, pairs)).otherwise(single)
+
+
+def _sum_of_ratios(w: Column, ratios: Column) -> Column:
+    """The ratios of all words and word pairs added up, in one walk over the words."""
+    worth = lambda *run: F.coalesce(F.get(ratios, _bucket(*run)), F.lit(0))
+    n = F.size(w)
+    both = lambda i: worth(F.get(w, i)) + F.when(i + 1 < n, worth(F.get(w, i), F.get(w, i + 1))).otherwise(F.lit(0))
+    total = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0).cast("long"), lambda a, i: a + both(i))
+    return F.when(n > 0, total).otherwise(F.lit(0).cast("long"))
 
 
 def trusted_ids(labels: DataFrame, limit: int = TRUSTED_DOCS) -> DataFrame:
@@ -115,11 +129,9 @@ def score_documents(docs: DataFrame, ratios: DataFrame, threshold: float = THRES
     """
     cols = [c for c in docs.columns if c != "quality"]
     w = with_measures(docs.select(*[docs[c] for c in cols]))
-    w = w.select("*", ratios.scalar().alias("__r"))
-    llr = F.aggregate(
-        _buckets(F.col("__w")), F.lit(0).cast("long"), lambda a, b: a + F.coalesce(F.get(F.col("__r"), b), F.lit(0))
-    )
-    w = settle(w, __llr=llr).drop("__w", "__r")
+    # A constant of the plan: as a column, all ``BUCKETS`` numbers would be copied along with every row.
+    numbers = F.split(F.lit(",".join(map(str, ratios.first()["ratios"]))), ",").cast("array<int>")
+    w = settle(w, __llr=_sum_of_ratios(F.col("__w"), numbers)).drop("__w")
     m = F.col("__m")
     grams = F.greatest(2 * m["n_words"] - 1, F.lit(0))
     failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
