@@ -60,14 +60,43 @@ def test_propagation(spark):
     assert {(r.src, r.dst, r.n) for r in U.host_edges(frame).collect()} == set(edges)
     m = U.MILLION
     good = {"a.com": m // 2, "www.example.com": m // 2, "b.org": 0, "": 0, "a.com:80": 0, "spam.org": 0, "bad.net": 0, "x.example.com": 0}
-    want = brute_scores(good, {"bad.net": 2 * m // 3, "x.example.com": m}, edges, U.ROUNDS)
+    bad = {"bad.net": 2 * m // 3, "x.example.com": m}
+    want = brute_scores(good, bad, edges, U.ROUNDS)
     for r in rows:
         assert (r.trust, r.distrust) == want[r.host], r.host
         if r.rule is None:
-            assert r.verdict == ("block" if r.distrust - r.trust >= U.MARGIN else "allow")
+            t, d = max(r.trust, good.get(r.host, 0)), max(r.distrust, bad.get(r.host, 0))
+            unknown = not good.get(r.host) and not bad.get(r.host)
+            assert r.verdict == ("block" if d - t >= U.MARGIN or unknown and d >= max(U.LINKED, U.TIMES * t) else "allow"), r.host
+    assert by[6, "/en/1"].verdict == "block" and by[12, ""].verdict == "allow"
     assert U.judge_urls(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("linkers", [0, 1, 2, 5, 40])
+def test_links_do_not_clear_a_blocked_host(spark, linkers):
+    pages = [page(i, f"https://bad.net/es/{i}") for i in range(19)] + [page(19, "https://bad.net/en/1")]
+    pages += [page(100 + i, f"https://l{i}.org/", "https://bad.net/en/1") for i in range(linkers)]
+    pages += [page(500, "https://shop.com/"), page(501, "https://friend.org/")]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    by = {r.page_id: r for r in U.judge_urls(frame).collect()}
+    assert by[19].rule is None and by[19].verdict == "block"
+    assert (by[500].verdict, by[501].verdict) == ("allow", "allow")
+    if 0 < linkers <= 5:  # the host's mass is shared out: beyond that a linker gets too little to be blamed
+        assert {by[100 + i].verdict for i in range(linkers)} == {"block"}
+    if linkers == 40:
+        assert {by[100 + i].verdict for i in range(linkers)} == {"allow"}
+
+
+def test_masses_of_a_large_crawl(spark):
+    """10^13 of mass and hosts of 10^8 linked pages: no overflow, equal to whole-number arithmetic of any size."""
+    big = 20_000_000 * U.MILLION
+    seeds = [("hub.com", big, 0), ("bad.net", 0, big), ("a.org", 0, 0), ("b.org", 0, 0)]
+    edges = [("hub.com", "a.org", 10**8), ("hub.com", "b.org", 3), ("a.org", "bad.net", 10**8), ("b.org", "bad.net", 7), ("bad.net", "hub.com", 1)]
+    got = U.propagate(spark.createDataFrame(seeds, "host string, good long, bad long"), spark.createDataFrame(edges, "src string, dst string, n long"))
+    want = brute_scores({h: g for h, g, _ in seeds}, {h: b for h, _, b in seeds}, edges, U.ROUNDS)
+    assert {r.host: (r.trust, r.distrust) for r in got.collect()} == want
+
+
 # ------------------------------------------------------------------ revisits
 def record(i, url, ts, **headers):
     return (i, url, ts, {k.replace("_", "-"): v for k, v in headers.items()})

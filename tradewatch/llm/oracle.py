@@ -49,10 +49,10 @@ x{k} AS MATERIALIZED (SELECT n.*, trust, distrust FROM node n JOIN {p} USING (ho
 s{k} AS MATERIALIZED (
   SELECT host, any_value(good) * {U.MILLION - U.KEEP} // {U.MILLION} + sum(t)::BIGINT AS trust,
          any_value(bad) * {U.MILLION - U.KEEP} // {U.MILLION} + sum(d)::BIGINT AS distrust
-  FROM (SELECT host, CASE WHEN out_n IS NULL THEN trust * {U.KEEP} // {U.MILLION} ELSE 0 END AS t,
-               CASE WHEN in_n IS NULL THEN distrust * {U.KEEP} // {U.MILLION} ELSE 0 END AS d FROM x{k}
-        UNION ALL SELECT dst, trust * {U.KEEP} // {U.MILLION} * n // out_n, 0 FROM edge JOIN x{k} ON src = host
-        UNION ALL SELECT src, 0, distrust * {U.KEEP} // {U.MILLION} * n // in_n FROM edge JOIN x{k} ON dst = host) m
+  FROM (SELECT host, CASE WHEN out_n IS NULL THEN (trust::HUGEINT * {U.KEEP} // {U.MILLION})::BIGINT ELSE 0 END AS t,
+               CASE WHEN in_n IS NULL THEN (distrust::HUGEINT * {U.KEEP} // {U.MILLION})::BIGINT ELSE 0 END AS d FROM x{k}
+        UNION ALL SELECT dst, (trust::HUGEINT * {U.KEEP} // {U.MILLION} * n // out_n)::BIGINT, 0 FROM edge JOIN x{k} ON src = host
+        UNION ALL SELECT src, 0, (distrust::HUGEINT * {U.KEEP} // {U.MILLION} * n // in_n)::BIGINT FROM edge JOIN x{k} ON dst = host) m
   JOIN node USING (host) GROUP BY host)""")
     return f"""
 WITH rules(verdict, rhost, rpath) AS (VALUES {rules}),
@@ -74,8 +74,10 @@ node AS MATERIALIZED (
   LEFT JOIN (SELECT dst AS host, sum(n)::BIGINT AS in_n FROM edge GROUP BY dst) i USING (host)),
 s0 AS MATERIALIZED (SELECT host, good AS trust, bad AS distrust FROM node),{",".join(rounds)}
 SELECT page_id, host, path, rule,
-       coalesce(by_rule, CASE WHEN distrust - trust >= {U.MARGIN} THEN 'block' ELSE 'allow' END) AS verdict, trust, distrust
-FROM judged JOIN s{U.ROUNDS} USING (host)"""
+       coalesce(by_rule, CASE WHEN greatest(distrust, bad) - greatest(trust, good) >= {U.MARGIN}
+           OR good = 0 AND bad = 0 AND distrust >= {U.LINKED} AND distrust >= {U.TIMES} * trust THEN 'block' ELSE 'allow' END) AS verdict,
+       trust, distrust
+FROM judged JOIN s{U.ROUNDS} USING (host) JOIN (SELECT host, good, bad FROM node) USING (host)"""
 
 
 def _secrets() -> str:

@@ -8,7 +8,11 @@ millionths: every sum is exact, so the outcome does not depend on order or parti
 
 A host's seed is the share of its pages that the rules allow (or block). The walk restarts
 at the seeds with probability 0.15; a host without links to other hosts keeps its own mass.
-A host is blocked if its distrust exceeds its trust by ``MARGIN``.
+
+Links share a host's mass out among its neighbours, which says nothing against the host's own
+pages, so its scores count as its seeds at least. A host is blocked if its distrust then exceeds
+its trust by ``MARGIN``. A host of which the rules say nothing has only what links bring, the less
+the more hosts share it: it is blocked if that is at least ``LINKED`` and ``TIMES`` its trust.
 """
 
 from __future__ import annotations
@@ -24,6 +28,8 @@ ROUNDS = 20
 MILLION = 1_000_000
 KEEP = 850_000  # of a million: what a step passes on
 MARGIN = 500_000
+LINKED = 100_000
+TIMES = 3
 MOST_RULES = 1_000  # rules are a policy list, written into the expression
 # An absolute or scheme-relative link; links without a host stay on their own host.
 LINK = r"(?i)href\s*=\s*[\"']?\s*(?:https?:)?//([^/?#\"'\s>]+)"
@@ -83,13 +89,21 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.where("src <> dst AND src <> '' AND dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
+def _passed(mass: str, links: str | None = None) -> Column:
+    """What a step passes on of a mass, or a link's share of it. Products are decimals, as a mass of 10^13 times
+    ``KEEP``, or times the pages of a large host, is more than a long holds; the quotients are not."""
+    part = f"cast({mass} as decimal(38,0)) * {KEEP} div {MILLION}"
+    return F.expr(part if links is None else f"cast({part} as decimal(38,0)) * n div {links}")
+
+
 def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust) in millionths from seeds (host, good, bad) and edges (src, dst, n).
+    """(host, good, bad, trust, distrust) in millionths from seeds (host, good, bad) and edges (src, dst, n).
 
     Each round is one equi-join of the edges with the hosts' state and one pre-aggregated sum,
     written to the shared folder. It ends early only when a round changes nothing, as then no
     later round would.
     """
+    edges = cut(edges)  # read five times and in every round
     ends = edges.select(F.col("src").alias("host")).union(edges.select("dst")).distinct()
     nodes = seeds.join(ends, "host", "full").select(
         "host", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("good", "bad")]
@@ -97,7 +111,6 @@ def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataF
     out_n = edges.groupBy(F.col("src").alias("host")).agg(F.sum("n").alias("out_n"))
     in_n = edges.groupBy(F.col("dst").alias("host")).agg(F.sum("n").alias("in_n"))
     nodes = cut(nodes.join(out_n, "host", "left").join(in_n, "host", "left"))
-    edges = cut(edges)
     state = cut(nodes.select("host", F.col("good").alias("trust"), F.col("bad").alias("distrust")))
     for _ in range(rounds):
         full = nodes.join(state, "host")
@@ -105,14 +118,14 @@ def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataF
         own = full.select(
             "host",
             # Without a link out (or in) the mass stays.
-            F.when(F.col("out_n").isNull(), F.expr(f"trust * {KEEP} div {MILLION}")).otherwise(none).alias("t"),
-            F.when(F.col("in_n").isNull(), F.expr(f"distrust * {KEEP} div {MILLION}")).otherwise(none).alias("d"),
+            F.when(F.col("out_n").isNull(), _passed("trust")).otherwise(none).alias("t"),
+            F.when(F.col("in_n").isNull(), _passed("distrust")).otherwise(none).alias("d"),
         )
         along = edges.join(full.withColumnRenamed("host", "src"), "src").select(
-            F.col("dst").alias("host"), F.expr(f"trust * {KEEP} div {MILLION} * n div out_n").alias("t"), none.alias("d")
+            F.col("dst").alias("host"), _passed("trust", "out_n").alias("t"), none.alias("d")
         )
         against = edges.join(full.withColumnRenamed("host", "dst"), "dst").select(
-            F.col("src").alias("host"), none.alias("t"), F.expr(f"distrust * {KEEP} div {MILLION} * n div in_n").alias("d")
+            F.col("src").alias("host"), none.alias("t"), _passed("distrust", "in_n").alias("d")
         )
         got = own.union(along).union(against).groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
         restart = lambda c: F.expr(f"{c} * {MILLION - KEEP} div {MILLION}")
@@ -127,7 +140,7 @@ def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataF
         state = new
         if state.where("moved").isEmpty():
             break
-    return state.select("host", "trust", "distrust")
+    return state.join(nodes, "host").select("host", "good", "bad", "trust", "distrust")
 
 
 def judge_urls(pages: DataFrame, rules=RULES, margin: int = MARGIN, rounds: int = ROUNDS) -> DataFrame:
@@ -145,7 +158,9 @@ def judge_urls(pages: DataFrame, rules=RULES, margin: int = MARGIN, rounds: int
         ]
     )
     scores = propagate(cut(shares), host_edges(pages.select("url", "html")), rounds)
-    verdict = F.when(F.col("distrust") - F.col("trust") >= margin, "block").otherwise("allow")
+    for_it, against = F.greatest("trust", "good"), F.greatest("distrust", "bad")
+    by_links = (F.col("good") == 0) & (F.col("bad") == 0) & (against >= LINKED) & (against >= TIMES * for_it)
+    verdict = F.when((against - for_it >= margin) | by_links, "block").otherwise("allow")
     return (
         parsed(urls, rules)
         .join(scores, "host")
