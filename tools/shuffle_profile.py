@@ -24,6 +24,7 @@ from tradewatch.operators import candles as C  # noqa: E402
 from tradewatch.operators import clean as CL  # noqa: E402
 from tradewatch.operators import dq as DQ  # noqa: E402
 from tradewatch.operators import pump as P  # noqa: E402
+from tradewatch.operators import staged as ST  # noqa: E402
 from tradewatch.operators import wash as W  # noqa: E402
 from tradewatch.sources import fixtures as FX  # noqa: E402
 
@@ -50,6 +51,7 @@ def main() -> None:
     plans = {
         "clean_trades": lambda: CL.clean_trades(bronze),
         "dq_report": lambda: DQ.dq_report(CL.typed_trades(bronze)),
+        "audited_trades": lambda: ST.audited_trades(bronze),  # both of the above in one pass, as the daily run does
         "ohlcv_5min": lambda: C.ohlcv(sparse),
         "pump_dump_events": lambda: P.pump_dump(C.ohlcv(sparse)),
         "wash_pairs_div1": lambda: W.wash_pairs(dense, WashConfig()),
