@@ -58,11 +58,13 @@ def read_entries(
 
 
 def remove_versions(spark: SparkSession, root: str, day_col: str, entries: list[Entry], before: str) -> None:
-    """Deletes the entries' folders of other versions that sort before ``before``: replaced ones and those of dead loads."""
+    """Deletes the entries' folders of other versions numbered up to that of ``before``: replaced ones and those of
+    dead loads. One with the same number belongs to a load that died or will be refused, as ``before`` is committed."""
     for e in entries:
         path = f"{root}/{folder(day_col, e)}"
         for name in child_names(spark, path):
-            if name.startswith(f"{VERSION}=") and name.partition("=")[2] not in (e.version,) and name < f"{VERSION}={before}":
+            version = name.partition("=")[2]
+            if name.startswith(f"{VERSION}=") and version != e.version and version[:8] <= before[:8]:
                 delete_path(spark, f"{path}/{name}")
         while path != root and not child_names(spark, path):
             delete_path(spark, path)
