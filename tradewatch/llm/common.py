@@ -92,3 +92,15 @@ def settle(df: DataFrame, **cols: Column) -> DataFrame:
     """
     old = [df[c] for c in df.columns if c not in cols]
     return df.select(*old, F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+
+
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns named c0, c1, .. and the new name of each, so that an operator's own
+    columns (``__`` and a word) cannot meet a user's, whatever the user's are called."""
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
+def restored(df: DataFrame, names: dict[str, str]) -> list[Column]:
+    """The columns that ``numbered`` renamed, under their own names."""
+    return [df[n].alias(c) for c, n in names.items()]

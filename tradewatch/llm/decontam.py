@@ -20,7 +20,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.llm.common import cut, settle, words
+from tradewatch.llm.common import cut, numbered, restored, settle, words
 
 SHINGLE = 5
 SIMILARITY = Fraction(4, 5)
@@ -171,5 +171,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, t: Fraction = SIMIL
     """``docs`` without the rows whose text holds a benchmark item; columns and other rows stay as they are."""
     texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
     bad = cut(contaminated(texts, benchmark, t).select(F.col("doc_id").alias("__bad")).distinct())
-    keyed = docs.withColumn("__key", F.xxhash64("text"))
-    return keyed.join(bad, F.col("__key") == F.col("__bad"), "left_anti").select(*docs.columns)
+    docs, own = numbered(docs)
+    keyed = docs.withColumn("__key", F.xxhash64(own["text"]))
+    clean = keyed.join(bad, F.col("__key") == F.col("__bad"), "left_anti")
+    return clean.select(*restored(clean, own))

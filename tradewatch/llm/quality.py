@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.llm.common import cut, settle, words
+from tradewatch.llm.common import cut, numbered, restored, settle, words
 
 BUCKETS = 1 << 17
 MILLION = 1_000_000
@@ -119,16 +119,16 @@ def fit_ratios(docs: DataFrame, labels: DataFrame, limit: int = TRUSTED_DOCS) ->
     return rows.agg(F.transform(F.sort_array(F.collect_list(F.struct("id", "r"))), lambda x: x["r"]).alias("ratios"))
 
 
-def score_documents(docs: DataFrame, ratios: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with its columns as they are and a struct ``quality``: n_words, word_chars, n_symbols,
+def score_documents(docs: DataFrame, ratios: DataFrame, threshold: float = THRESHOLD, out: str = "quality") -> DataFrame:
+    """``docs`` with its columns as they are and a struct ``out``: n_words, word_chars, n_symbols,
     n_dup_lines, n_repeat_words, base_failed, n_grams, llr (sum in millionths) and kept.
 
     One row per row of ``docs``. Null and empty texts have no words and fail the base rules;
     repeated rows get equal verdicts; a score equal to the threshold is kept; an empty table
-    gives an empty result. A column named ``quality`` is replaced. Map-only.
+    gives an empty result. A column named ``out`` is replaced, no other. Map-only.
     """
-    cols = [c for c in docs.columns if c != "quality"]
-    w = with_measures(docs.select(*[docs[c] for c in cols]))
+    docs, own = numbered(docs.drop(out))
+    w = with_measures(docs, own["text"])
     # A constant of the plan: as a column, all ``BUCKETS`` numbers would be copied along with every row.
     numbers = F.split(F.lit(",".join(map(str, ratios.first()["ratios"]))), ",").cast("array<int>")
     w = settle(w, __llr=_sum_of_ratios(F.col("__w"), numbers)).drop("__w")
@@ -144,9 +144,17 @@ def score_documents(docs: DataFrame, ratios: DataFrame, threshold: float = THRES
         F.col("__llr").alias("llr"),
         kept.alias("kept"),
     )
-    return w.select(*[F.col(c) for c in cols], q.alias("quality"))
+    return w.select(*restored(w, own), q.alias(out))
 
 
-def judge_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def judge_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, out: str = "quality") -> DataFrame:
     """Fit on ``docs`` and ``labels``, then score every document."""
-    return score_documents(docs, fit_ratios(docs, labels), threshold)
+    return score_documents(docs, fit_ratios(docs, labels), threshold, out)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that are kept; their columns, one named ``quality`` included, stay as they are."""
+    docs, own = numbered(docs)
+    plain = docs.withColumnsRenamed({own[c]: c for c in ("doc_id", "text")})
+    judged = judge_documents(plain, labels, threshold, "__quality").where("__quality.kept")
+    return judged.select(*[judged[c if c in ("doc_id", "text") else n].alias(c) for c, n in own.items()])

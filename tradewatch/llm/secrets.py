@@ -22,7 +22,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.llm.common import ascii_lower, cut, settle
+from tradewatch.llm.common import ascii_lower, cut, numbered, restored, settle
 
 
 class Rule(NamedTuple):
@@ -200,18 +200,18 @@ def _placed(rule: Rule, order: int, between: Column, whole: Column, part: Column
     return F.aggregate(step, F.struct(F.lit(0).alias("at"), empty.alias("found")), merge, lambda a: a["found"])
 
 
-def find_secrets(docs: DataFrame, rules=RULES, text_col: str = "text") -> DataFrame:
-    """``docs`` with its columns as they are and ``secrets``, an array of (start, order, end, kind).
+def find_secrets(docs: DataFrame, rules=RULES, text_col: str = "text", out: str = "secrets") -> DataFrame:
+    """``docs`` with its columns as they are and ``out``, an array of (start, order, end, kind).
 
     Per rule the matches are leftmost and do not overlap; too short ones are dropped after
     matching. Places are in code points, the end exclusive; the array is in order of start,
     then of the rules. Null and empty texts have none; repeated rows have equal arrays; an
-    empty table gives an empty result. A column named ``secrets`` is replaced.
+    empty table gives an empty result. A column named ``out`` is replaced, no other.
     """
     scan = [r.kind for r in rules if not trigram_query(r.pattern)]
     found = cut(candidates(postings(docs, rules, text_col), rules))
-    docs = docs.select(*[docs[c] for c in docs.columns if c != "secrets"])
-    cols = docs.columns
+    docs, own = numbered(docs.drop(out))
+    text_col = own[text_col]
     keyed = docs.withColumn("__key", F.xxhash64(docs[text_col]))
     hits = found.select(F.col("text_key").alias("__key"), F.col("kinds").alias("__kinds"))
     rows = keyed.join(hits, "__key", "left")
@@ -228,7 +228,8 @@ def find_secrets(docs: DataFrame, rules=RULES, text_col: str = "text") -> DataFr
         p = F.col(f"__r{i}")
         none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
         spans.append(F.when(p.isNull(), none).otherwise(_placed(r, i, p["b"], p["w"], p["p"])))
-    return settle(rows, secrets=F.sort_array(F.concat(*spans))).select(*[F.col(c) for c in cols], "secrets")
+    rows = settle(rows, __all=F.sort_array(F.concat(*spans)))
+    return rows.select(*restored(rows, own), F.col("__all").alias(out))
 
 
 def spans_text(spans: Column) -> Column:
@@ -242,30 +243,33 @@ def redact(docs: DataFrame, rules=RULES) -> DataFrame:
 
     Of a private key all is masked: its first line, which is what the rule finds, the body and
     the last line; a key without a last line goes on to the next key or the end of the text.
-    Spans that overlap or touch become one. Texts without a secret stay as they are, nulls included.
+    Spans that overlap or touch become one. Texts without a secret stay as they are, nulls included;
+    so do all other columns, whatever their names.
     """
-    d = find_secrets(docs, rules)
+    docs, own = numbered(docs)
+    text = own["text"]
+    d = find_secrets(docs, rules, text, "__found")
 
     def whole(s: Column) -> Column:
-        rest = F.regexp_extract(F.substring(F.col("text"), s["end"] + 1, F.length("text")), KEY_REST, 0)
+        rest = F.regexp_extract(F.substring(F.col(text), s["end"] + 1, F.length(text)), KEY_REST, 0)
         end = F.when(s["kind"] == "private_key", s["end"] + F.length(rest)).otherwise(s["end"])
         return F.struct(s["start"].alias("start"), end.alias("end"))
 
-    d = settle(d, secrets=F.transform("secrets", whole))
-    spans = F.col("secrets")
+    d = settle(d, __found=F.transform("__found", whole))
+    spans = F.col("__found")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(a: Column, s: Column) -> Column:
         fresh = (s["start"] > a["at"]) | (a["at"] == 0)
-        gap = F.substring(F.col("text"), a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0)))
+        gap = F.substring(F.col(text), a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0)))
         out = F.when(fresh, F.concat(a["out"], gap, F.lit(MASK))).otherwise(a["out"])
         return F.struct(F.greatest(a["at"], s["end"]).alias("at"), out.alias("out"))
 
     masked = F.aggregate(
-        spans, start, step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text")))
+        spans, start, step, lambda a: F.concat(a["out"], F.substring(F.col(text), a["at"] + 1, F.length(text)))
     )
     d = settle(d, __masked=F.when(F.size(spans) > 0, masked))
-    new = {"text": F.coalesce("__masked", "text")}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("__masked").isNotNull(), F.length("__masked").cast("long")).otherwise(F.col("n_chars"))
-    return d.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+    new = {"text": F.coalesce("__masked", text)}
+    if "n_chars" in own:
+        new["n_chars"] = F.when(F.col("__masked").isNotNull(), F.length("__masked").cast("long")).otherwise(F.col(own["n_chars"]))
+    return d.select(*[new.get(c, F.col(n)).alias(c) for c, n in own.items()])

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewatch.llm.common import ascii_lower, cut, ship_package, shingle_hashes, words
+from tradewatch.llm.common import ascii_lower, cut, numbered, restored, ship_package, shingle_hashes, words
 from tradewatch.llm.components import components
 
 BITS = 64
@@ -165,6 +165,8 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     found = near_duplicates(docs.select(ident.alias("ident"), "text"), shingle, radius, "ident")
     first = found.where("ident = component_id").select("ident.doc_id", "ident.text_key").distinct()
     first = cut(first.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__first")))
-    keyed = docs.withColumn("__key", F.xxhash64("text"))
-    mine = keyed["doc_id"].eqNullSafe(first["__id"]) & (keyed["__key"] == first["__first"])
-    return keyed.join(first, mine, "left_semi").dropDuplicates(["doc_id", "__key"]).select(*docs.columns)
+    docs, own = numbered(docs)
+    keyed = docs.withColumn("__key", F.xxhash64(own["text"]))
+    mine = keyed[own["doc_id"]].eqNullSafe(first["__id"]) & (keyed["__key"] == first["__first"])
+    kept = keyed.join(first, mine, "left_semi").dropDuplicates([own["doc_id"], "__key"])
+    return kept.select(*restored(kept, own))
