@@ -19,8 +19,7 @@ ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = quality.judge_documents(docs, table(spark, sf_dir, "labels"))
-    return judged.where("quality.kept").select(*docs.columns)
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
