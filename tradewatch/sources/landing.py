@@ -3,10 +3,10 @@
 * :func:`landing_inventory` lists the archives with Spark's ``binaryFile``
   source, reading only path and length (the content column is pruned), and
   anti-joins the expected days against the found ones (S1).
-* :func:`read_landing` turns archives into bronze rows (S2-S4): one task per
-  archive decompresses the first ``*.csv`` member into line-aligned text
-  chunks (``mapInPandas``, bounded memory), and Spark's CSV parser
-  (``from_csv``) splits the lines after AQE has dealt the chunks out by size.
+* :func:`read_landing` turns archives into bronze rows (S2-S4): the data source
+  ``trade_archives`` (:mod:`tradewatch.sources.archives`) decompresses the first
+  ``*.csv`` member of each into line-aligned text chunks (bounded memory), and
+  Spark's CSV parser (``from_csv``) splits the lines after AQE has dealt the chunks out by size.
   A zip member is one sequential deflate stream, so decompression is the only
   per-archive step.
 * :func:`read_landing_csv` reads already-extracted CSV files (S3).
@@ -145,9 +145,6 @@ def require_landing(spark: SparkSession, landing_dir: str, days: DataFrame, symb
         raise FileNotFoundError(f"landing files missing for: {', '.join(miss)} in {landing_dir}")
 
 
-_CHUNKS = "text string, _source_file string, symbol string, trade_date string"
-
-
 def _csv_member(archive: zipfile.ZipFile, path: str) -> zipfile.ZipInfo:
     """The trades of an archive: its first entry that is a CSV file."""
     for entry in archive.infolist():
@@ -156,10 +153,10 @@ def _csv_member(archive: zipfile.ZipFile, path: str) -> zipfile.ZipInfo:
     raise ValueError(f"{path}: the archive has no CSV entry")
 
 
-def _line_blocks(stream) -> Iterator[bytes]:
-    """Whole lines of a byte stream in blocks of about ``CHUNK_BYTES``."""
+def _line_blocks(stream, size: int) -> Iterator[bytes]:
+    """Whole lines of a byte stream in blocks of about ``size`` bytes."""
     rest = b""
-    while block := stream.read(CHUNK_BYTES):
+    while block := stream.read(size):
         head, newline, tail = block.rpartition(b"\n")
         if newline:
             yield rest + head + newline
@@ -170,17 +167,6 @@ def _line_blocks(stream) -> Iterator[bytes]:
         yield rest
 
 
-def _unzip_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Archives decompressed to line-aligned text chunks; parsing happens in Spark."""
-    for batch in batches:
-        for path, file_name, symbol, day in batch[["path", "file_name", "symbol", "trade_date"]].itertuples(index=False):
-            with _open(path) as raw, zipfile.ZipFile(raw) as archive, archive.open(_csv_member(archive, path)) as member:
-                for lines in _line_blocks(member):
-                    yield pd.DataFrame(
-                        {"text": [lines.decode("utf-8")], "_source_file": [file_name], "symbol": [symbol], "trade_date": [str(day)]}
-                    )
-
-
 def _utc_now() -> Column:
     """The load time as a UTC timestamp without zone, whatever the session's zone."""
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
@@ -214,9 +200,10 @@ def read_landing(
 ) -> DataFrame:
     """Bronze rows (all text) of the archives, with lineage columns and the symbol.
 
-    ``None`` means every day (every symbol), an empty list none. The file
-    listing is packed into tasks by archive size, as any Spark scan; a task
-    only decompresses (a zip member is one sequential deflate stream). The
+    ``None`` means every day (every symbol), an empty list none. Days and symbols
+    are options of the data source, so other archives are not opened; its tasks
+    are packed by archive size and only decompress (a zip member is one sequential
+    deflate stream). The
     line-aligned chunks are then dealt out by AQE in partitions of its advisory
     size, whatever the number of archives, and Spark's own CSV parser
     (``from_csv``) splits them into the 7 columns, dropping surplus trailing
@@ -224,11 +211,9 @@ def read_landing(
     ``trade_date`` and ``symbol`` come from the file name. Fields are not quoted
     in exchange trade files, so a record never spans two lines.
     """
-    files = landing_files(spark, landing_dir, symbols)
-    if days is not None:
-        files = files.where(F.col("trade_date").isin(list(days)) if days else F.lit(False))
-    files = files.select("path", "file_name", "symbol", F.col("trade_date").cast("string").alias("trade_date"))
-    chunks = files.mapInPandas(_unzip_chunks, _CHUNKS).hint("rebalance")
+    from tradewatch.sources.archives import read_archives
+
+    chunks = read_archives(spark, landing_dir, days, symbols).hint("rebalance")
     lines = chunks.select(F.explode(F.split("text", "\r?\n")).alias("line"), "_source_file", "symbol", "trade_date")
     parsed = lines.where(F.length("line") > 0).select(
         F.from_csv("line", LANDING_DDL, {"mode": "PERMISSIVE"}).alias("r"), "_source_file", "symbol", "trade_date"
@@ -237,7 +222,7 @@ def read_landing(
         *[F.col(f"r.{c}").alias(c) for c in LANDING_COLUMNS],
         "_source_file",
         _utc_now().alias("_ingested_at"),
-        F.col("trade_date").cast("date").alias("trade_date"),
+        "trade_date",
         "symbol",
     )
 

@@ -1,15 +1,16 @@
 """Run the daily pipeline for each newly landed archive, exactly once.
 
 The surveyed project scheduled one batch per day. The Spark-native equivalent
-is a file-source stream over the landing folder: the stream's checkpoint (in
+is a stream over the landing folder through the same data source as the batch
+(``trade_archives``): the stream's checkpoint (in
 the shared checkpoint folder) records which archives were processed, and each
 micro-batch runs :func:`tradewatch.plans.daily_run.run_days` for the days of
 its new archives. With ``availableNow`` the query processes everything landed
 so far and stops, which is what a scheduled job wants; without it, the same
 query keeps running and picks up archives as they land.
 
-The stream only carries file paths (``binaryFile`` with the content column
-pruned); the archives themselves are read by the batch run, one task each.
+The stream only carries one row per archive and opens none; the archives
+themselves are read by the batch run.
 A failing run (a DQ gate, a missing file) fails the micro-batch, which is not
 committed to the checkpoint, so the next start retries the same archives. An
 archive re-delivered under a name already processed is not picked up again;
@@ -19,25 +20,15 @@ re-run its day with :func:`run_days` directly.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradewatch.plans.daily_run import Layout, RunConfig, run_days
-from tradewatch.sources.landing import landing_day
-
-_BINARY = "path string, modificationTime timestamp, length long, content binary"
+from tradewatch.sources.archives import stream_archives
 
 
 def landed_days(spark: SparkSession, landing_dir: str) -> DataFrame:
-    """Streaming frame of (path, trade_date) for archives appearing in ``landing_dir``."""
-    files = (
-        spark.readStream.format("binaryFile")
-        .schema(_BINARY)
-        .option("pathGlobFilter", "*.zip")
-        .load(landing_dir)
-        .select("path")
-    )
-    return files.select("path", landing_day(F.regexp_extract("path", r"([^/]+)$", 1)).alias("trade_date"))
+    """Streaming frame of the archives appearing in ``landing_dir``: file, symbol, day and size."""
+    return stream_archives(spark, landing_dir, content=False)
 
 
 def start(
