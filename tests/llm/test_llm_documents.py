@@ -1,8 +1,12 @@
 """Document operators against brute force, and their defined results on odd rows."""
 
+import glob
 import hashlib
+import os
 import random
 import re
+import tempfile
+import time
 from collections import Counter
 from fractions import Fraction
 
@@ -20,7 +24,7 @@ from tradewatch.llm import sharding as SH
 from tradewatch.llm import simhash as S
 from tradewatch.llm import substring_dedup as SD
 from tradewatch.llm import token_counts as TC
-from tradewatch.llm.common import table
+from tradewatch.llm.common import cut, table
 from tradewatch.llm.components import components
 
 LONG = " ".join(f"w{i % 977}" for i in range(30_000))
@@ -613,3 +617,39 @@ def test_private_keys_are_masked_whole(spark):
     }
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert [r.text for r in X.redact(frame).orderBy("doc_id").collect()] == list(texts.values())
+
+
+def test_window_signatures_miss_no_pair():
+    rnd = np.random.default_rng(7)
+    for vocabulary in (5000, 30, 4) * 6:
+        hashed = rnd.integers(-(2**63), 2**63 - 1, vocabulary)
+        a = hashed[rnd.integers(0, vocabulary, 100)]
+        b = a.tolist()
+        for at in rnd.integers(5, 90, rnd.integers(0, 3)):
+            b[at : at + rnd.integers(0, 2)] = hashed[rnd.integers(0, vocabulary, rnd.integers(0, 2))].tolist()
+        b = np.array(b[30:] + b[:30])
+        often = [np.sort(SD.grams(a, n)[::3]) for n in (SD.GRAM, SD.SHINGLE)] if rnd.integers(0, 2) else [None, None]
+        sig, first, last = SD.window_signatures(np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), *often)
+        of = {}
+        for s, x, y in zip(sig.tolist(), first.tolist(), last.tolist()):
+            for i in range(x, y + 1):
+                of.setdefault(i, set()).add(s)
+        x, y = SD.grams(a, SD.SHINGLE), SD.grams(b, SD.SHINGLE)
+        for i in range(len(x) - SD.SPAN + 1):
+            for j in range(len(y) - SD.SPAN + 1):
+                if SD.similar_bags(x[i : i + SD.SPAN], y[j : j + SD.SPAN]):
+                    assert of[i] & of[len(a) + j]
+
+
+def test_cut_leaves_no_shuffle_files(spark):
+    root = spark.conf.get("spark.local.dir", tempfile.gettempdir())
+    files = lambda: set(glob.glob(f"{root}/blockmgr-*/*/shuffle_*.data"))
+    before = files()
+    left = cut(spark.range(0, 200_000, 1, 4).repartition(4, "id"))
+    for _ in range(50):
+        if not {f for f in files() - before if os.path.getsize(f) > 10_000}:
+            break
+        time.sleep(0.1)
+    else:
+        raise AssertionError("shuffle files are left behind")
+    assert left.count() == 200_000
