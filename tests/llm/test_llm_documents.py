@@ -653,3 +653,54 @@ def test_cut_leaves_no_shuffle_files(spark):
     else:
         raise AssertionError("shuffle files are left behind")
     assert left.count() == 200_000
+
+
+def test_paired_prefixes_miss_no_pair():
+    rnd, met = np.random.default_rng(17), 0
+    for turn in range(60):
+        vocabulary = rnd.integers(-(2**62), 2**62, 3 if turn % 2 else 400)
+        a = rnd.choice(vocabulary, 90)
+        if turn % 2:
+            a = np.repeat(a, 15)[:90]
+        b = np.concatenate([rnd.choice(vocabulary, 7), a[5:80]])
+        b[rnd.integers(0, len(b), rnd.integers(0, 3))] = rnd.integers(-(2**62), 2**62, 1)
+        x, y = SD.grams(a, SD.SHINGLE), SD.grams(b, SD.SHINGLE)
+        often = np.sort(x[::3]) if rnd.integers(0, 2) else None
+        codes = []
+        for h, other in ((x, y), (y, x)):
+            lone = np.setdiff1d(h, other)
+            starts = np.flatnonzero(SD.open_windows(h, lone))
+            code, start = SD.paired_prefixes(h, lone, often, starts)
+            of = {int(s): set() for s in starts}
+            for c, s in zip(code.tolist(), start.tolist()):
+                of[s].add(c)
+            codes.append(of)
+        common = SD._common(x, y)
+        for i in range(len(x) - SD.SPAN + 1):
+            for j in range(len(y) - SD.SPAN + 1):
+                alike = SD.similar_bags(x[i : i + SD.SPAN], y[j : j + SD.SPAN])
+                assert alike == (common[i, j] >= SD.SHARED)
+                if alike:
+                    met += 1
+                    assert codes[0][i] & codes[1][j]
+    assert met > 1_000
+
+
+def test_short_common_lines_make_no_pairs(spark, monkeypatch):
+    rnd = random.Random(23)
+    some = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    rows, asked, full = [], [], SD._full
+    for g in range(10):
+        line = some(24)
+        rows += [(10 * g + c, " ".join(some(40) + line + some(40))) for c in range(8)]
+    passage = some(60)
+    rows += [(200 + c, " ".join(some(30) + passage + some(30))) for c in range(2)]
+
+    def counted(pairs, bodies):
+        asked.append(pairs.count())
+        return full(pairs, bodies)
+
+    monkeypatch.setattr(SD, "_full", counted)
+    got = SD.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got} == {200, 201}
+    assert sum(asked) == 1
